@@ -30,5 +30,5 @@ def rounded_ratio(numerator: Column, denominator: Column, digits: int = 2, scale
 
     NULL when the denominator is zero.
     """
-    quotient = F.try_divide(numerator.cast("decimal(28,4)"), denominator.cast("decimal(28,4)"))
+    quotient = F.try_divide(numerator.cast("decimal(28,6)"), denominator.cast("decimal(28,6)"))
     return F.round(quotient * scale, digits).cast("double")

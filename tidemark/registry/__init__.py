@@ -6,7 +6,7 @@ import importlib
 
 from tidemark.registry import core
 
-_MODULES = ("marts",)
+_MODULES = ("marts", "reports", "quality")
 
 
 def load() -> tuple[dict, dict]:
