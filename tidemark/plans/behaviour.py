@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.functions.money import ratio, rounded_ratio
 
@@ -39,11 +40,12 @@ def funnel(events: DataFrame, steps: Sequence[str]) -> DataFrame:
 def monthly_retention(orders: DataFrame) -> DataFrame:
     """Customers active n months after their first order month, by first month."""
     months = orders.select("customer_id", F.trunc("order_date", "month").alias("month")).distinct()
-    cohort = months.groupBy("customer_id").agg(F.min("month").alias("cohort"))
-    offset = F.months_between("month", "cohort").cast("int")
+    # After the distinct a customer has at most one row per calendar month, so this window stays small.
+    cohort = F.min("month").over(Window.partitionBy("customer_id"))
     return (
-        months.join(cohort, "customer_id")
-        .groupBy(F.col("cohort").cast("timestamp_ntz").alias("cohort_month"), offset.alias("months_later"))
+        months.withColumn("cohort", cohort)
+        .groupBy(F.col("cohort").cast("timestamp_ntz").alias("cohort_month"),
+                 F.months_between("month", "cohort").cast("int").alias("months_later"))
         .agg(F.count("*").alias("active_customers"))
     )
 
