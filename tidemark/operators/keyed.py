@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def _match(keys: Sequence[str], null_safe: bool) -> Column:
+def key_match(keys: Sequence[str], null_safe: bool) -> Column:
     pairs = [F.col(k).eqNullSafe(F.col(f"__key_{k}")) if null_safe else F.col(k) == F.col(f"__key_{k}") for k in keys]
     return reduce(lambda a, b: a & b, pairs)
 
@@ -21,7 +21,7 @@ def key_columns(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def with_keys(df: DataFrame, other: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
     """The rows of ``df`` whose key occurs in ``other``."""
-    return df.join(key_columns(other, keys), _match(keys, null_safe), "left_semi")
+    return df.join(key_columns(other, keys), key_match(keys, null_safe), "left_semi")
 
 
 def without_keys(df: DataFrame, other: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
@@ -30,14 +30,14 @@ def without_keys(df: DataFrame, other: DataFrame, keys: Sequence[str], null_safe
     A small ``other`` is broadcast by Spark, which leaves ``df`` unshuffled;
     a large one gives a sort-merge join whose skewed partitions are split.
     """
-    return df.join(key_columns(other, keys), _match(keys, null_safe), "left_anti")
+    return df.join(key_columns(other, keys), key_match(keys, null_safe), "left_anti")
 
 
 def join_latest(df: DataFrame, other: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
     """Left join to ``other`` (at most one row per key), packed into the struct ``__other``."""
     packed = other.select(*[F.col(k).alias(f"__key_{k}") for k in keys],
                           F.struct(*[F.col(c) for c in other.columns]).alias("__other"))
-    return df.join(packed, _match(keys, null_safe), "left").drop(*[f"__key_{k}" for k in keys])
+    return df.join(packed, key_match(keys, null_safe), "left").drop(*[f"__key_{k}" for k in keys])
 
 
 def next_in_key(df: DataFrame, keys: Sequence[str], order: str, bucket: Column, name: str) -> DataFrame:

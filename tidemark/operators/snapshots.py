@@ -14,12 +14,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.dedup import duplicate_keys
-from tidemark.operators.keyed import _match
+from tidemark.operators.keyed import key_match, without_keys
+from tidemark.session import path_exists
 
 HISTORY = ("version bigint, timestamp timestamp_ntz, operation string, batch_id string, "
            "rows bigint, columns array<string>")
@@ -31,12 +31,9 @@ class ConstraintViolation(ValueError):
 
 def history(spark: SparkSession, table: str) -> DataFrame:
     """Version, time, operation, batch id, row count and columns of every commit."""
-    try:
-        return spark.read.schema(HISTORY).parquet(f"{table}/_history")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, f"{table}/_history"):
         return spark.createDataFrame([], HISTORY)
+    return spark.read.schema(HISTORY).parquet(f"{table}/_history")
 
 
 def commit(df: DataFrame, table: str, operation: str, batch_id: str | None = None,
@@ -102,7 +99,7 @@ def change_feed(before: DataFrame, after: DataFrame, keys: Sequence[str], versio
 
     old = before.select(*keys, packed(before, "__old"))
     new = after.select(*[F.col(k).alias(f"__key_{k}") for k in keys], packed(after, "__new"))
-    both = old.join(new, _match(keys, null_safe=True), "full_outer").filter(
+    both = old.join(new, key_match(keys, null_safe=True), "full_outer").filter(
         ~F.col("__old").eqNullSafe(F.col("__new")))
 
     def entry(kind: str, side: str):
@@ -149,8 +146,6 @@ def changed_rows(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> Da
 
 def apply_change_feed(before: DataFrame, feed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Replay the feed of one commit: ``before`` plus the feed gives ``after``."""
-    from tidemark.operators.keyed import without_keys
-
     new = feed.filter(F.col("_change_type").isin("insert", "update_postimage")).select(*before.columns)
     return without_keys(before, feed, keys, null_safe=True).unionByName(new)
 

@@ -6,7 +6,7 @@ import importlib
 
 from tidemark.registry import core
 
-_MODULES = ("marts", "reports", "quality", "changes")
+_MODULES = ("marts", "reports", "quality", "changes", "streams")
 
 
 def load() -> tuple[dict, dict]:

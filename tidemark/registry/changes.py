@@ -310,8 +310,8 @@ def added_column(t: Tables) -> DataFrame:
     return snapshots.add_column(t.orders.select("o_orderkey", "o_totalprice"), "tip", "double")
 
 
-@query("table_copy", "SELECT r_regionkey, r_name FROM region")
+@query("table_copy", "SELECT * FROM orders")
 def table_copy(t: Tables) -> DataFrame:
-    source, target = work_path(t.spark, "region"), work_path(t.spark, "region-copy")
-    snapshots.commit(t.region, source, "CREATE")
+    source, target = work_path(t.spark, "orders"), work_path(t.spark, "orders-copy")
+    snapshots.commit(t.orders, source, "CREATE")
     return snapshots.read_as_of(t.spark, target, snapshots.copy_table(t.spark, source, target))
