@@ -277,12 +277,9 @@ SELECT CAST(user_id AS VARCHAR) AS kafka_key, event_id, user_id, event_type, val
        0 AS kafka_partition, event_id AS kafka_offset, ts AS kafka_timestamp FROM events""")
 def kafka_envelope(t: Tables) -> DataFrame:
     root = work_path(t.spark, "envelope")
-    packed = messages.to_envelope(t.events.select("event_id", "user_id", "event_type", "value"), "user_id", "events",
-                                  F.col("event_id"), F.lit(None).cast("timestamp"))
-    # The payload has no time, so the envelope takes it from the events.
-    packed = packed.drop("timestamp").join(
-        t.events.select(F.col("event_id").alias("offset"), F.col("ts").cast("timestamp").alias("timestamp")), "offset")
-    packed.select("key", "value", "topic", "partition", "offset", "timestamp").write.parquet(f"{root}/topic")
+    packed = messages.to_envelope(t.events, "user_id", ["event_id", "user_id", "event_type", "value"], "events",
+                                  F.col("event_id"), F.col("ts"))
+    packed.write.parquet(f"{root}/topic")
     topic = incremental.file_stream(t.spark, f"{root}/topic", "parquet", messages.ENVELOPE)
     parsed = messages.parse_envelope(topic, "event_id bigint, user_id bigint, event_type string, value double")
     return sink_of(t, parsed.withColumn("kafka_timestamp", F.col("kafka_timestamp").cast("timestamp_ntz")), "parsed")
