@@ -50,5 +50,4 @@ def register_sql_functions(spark: SparkSession) -> None:
 
 def set_groups(spark: SparkSession, groups: list[str]) -> None:
     """Set the groups of the session's user (values are passed as parameters)."""
-    spark.sql("SET VARIABLE user_groups = :groups", args={"groups": F.array(*[F.lit(g) for g in groups])
-              if groups else F.array().cast("array<string>")})
+    spark.sql("SET VARIABLE user_groups = :groups", args={"groups": F.array(*[F.lit(g) for g in groups])})

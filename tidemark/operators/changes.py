@@ -85,13 +85,14 @@ def change_events(changes: DataFrame, sequence_by: Sequence[str], delete_when: C
     return changes.withColumns({SEQUENCE: F.struct(*sequence_by), DELETED: deleted}).drop(*drop)
 
 
-def _newest(columns: Sequence[str]) -> list[Column]:
+def newest_version(columns: Sequence[str]) -> list[Column]:
+    """Newest sequence first; equal sequences are ordered by the hash of the row."""
     payload = [c for c in columns if c != SEQUENCE]
     return newest_first([SEQUENCE], tie_break=payload)
 
 
 def _version(prefix: str, columns: Sequence[str]) -> Column:
-    """A comparable value that orders versions as ``_newest`` does."""
+    """A comparable value that orders versions as ``newest_version`` does."""
     payload = [c for c in columns if c != SEQUENCE]
     at = lambda c: F.col(f"{prefix}{c}")
     return F.struct(at(SEQUENCE).alias("s"), F.xxhash64(*[at(c) for c in payload]).alias("h"),
@@ -100,7 +101,7 @@ def _version(prefix: str, columns: Sequence[str]) -> Column:
 
 def merge_latest(state: DataFrame | None, events: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per key, the newest of the state row and all event rows. The result does not depend on batch order."""
-    newest = latest_per_key(events, keys, _newest(events.columns))
+    newest = latest_per_key(events, keys, newest_version(events.columns))
     if state is None:
         return newest
     columns = state.columns

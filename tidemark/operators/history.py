@@ -11,8 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.changes import DELETED, SEQUENCE, change_events
-from tidemark.operators.dedup import latest_per_key, newest_first
+from tidemark.operators.changes import DELETED, SEQUENCE, change_events, newest_version
+from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.keyed import next_in_key, with_keys, without_keys
 
 START, END, CURRENT = "__start_at", "__end_at", "__is_current"
@@ -33,8 +33,7 @@ def apply_scd2(history: DataFrame | None, changes: DataFrame, keys: Sequence[str
         untouched = without_keys(history, events, keys, null_safe=True)
         known = with_keys(history, events, keys, null_safe=True)
         events = known.withColumnRenamed(START, SEQUENCE).select(*columns).unionByName(events)
-    payload = [c for c in columns if c not in (SEQUENCE, *keys)]
-    distinct = latest_per_key(events, [*keys, SEQUENCE], newest_first([], tie_break=payload))
+    distinct = latest_per_key(events, [*keys, SEQUENCE], newest_version(columns))
     rebuilt = next_in_key(distinct, keys, SEQUENCE, bucket, END).withColumnRenamed(SEQUENCE, START)
     rebuilt = rebuilt.withColumn(CURRENT, F.col(END).isNull() & ~F.col(DELETED))
     return rebuilt if untouched is None else untouched.unionByName(rebuilt.select(*untouched.columns))
