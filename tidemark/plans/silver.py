@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.money import money, rate
 from tidemark.operators.dedup import latest_per_key
 
 LINE_KEY = ("order_id", "line_number")
@@ -57,8 +58,8 @@ def silver_lines(facts: DataFrame, customers: DataFrame, products: DataFrame) ->
 
 def priced_lines(raw_lines: DataFrame, orders: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """Order lines with gross and net revenue, order day, region and category."""
-    gross = F.round(F.col("list_amount"), 2)
-    net = F.round(F.col("list_amount") * (1 - F.col("discount_pct")), 2)
+    gross = money("list_amount")
+    net = F.round(gross * (1 - rate("discount_pct")), 2)
     return (
         raw_lines.filter("list_amount > 0 AND quantity > 0")
         .join(
@@ -68,10 +69,10 @@ def priced_lines(raw_lines: DataFrame, orders: DataFrame, customers: DataFrame,
         .join(customers.select("customer_id", "region"), "customer_id")
         .join(products.select("product_id", "category"), "product_id")
         .select(
-            "order_id", "customer_id", "region", "category", "channel", "quantity", "discount_pct",
+            "order_id", "customer_id", "region", "category", "channel", "quantity", rate("discount_pct").alias("discount_pct"),
             F.date_trunc("day", "order_date").cast("timestamp_ntz").alias("order_date"),
             F.upper("status").alias("status"),
-            gross.cast("decimal(18,2)").alias("gross_revenue"),
+            gross.alias("gross_revenue"),
             net.cast("decimal(18,2)").alias("net_revenue"),
         )
     )

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.money import money, rate
+from tidemark.functions.money import money
 
 SCHEMAS = {
     "region": "r_regionkey INT, r_name STRING",
@@ -89,8 +89,8 @@ class Tables:
             F.col("l_partkey").alias("product_id"),
             F.col("l_suppkey").alias("supplier_id"),
             F.col("l_quantity").cast("int").alias("quantity"),
-            money("l_extendedprice").alias("list_amount"),
-            rate("l_discount").alias("discount_pct"),
+            F.col("l_extendedprice").alias("list_amount"),
+            F.col("l_discount").alias("discount_pct"),
             F.col("l_returnflag").alias("channel"),
             F.col("l_shipdate").alias("ship_date"),
         )

@@ -128,15 +128,15 @@ def hidden_day_partition(t: Tables) -> DataFrame:
 
 @query("mixed_partition_layout", """
 SELECT o_orderkey, o_orderdate, o_totalprice FROM orders
-WHERE o_orderdate BETWEEN TIMESTAMP '1997-03-15' AND TIMESTAMP '2000-08-09'""")
+WHERE o_orderdate BETWEEN TIMESTAMP '1997-03-15' AND TIMESTAMP '2001-05-09'""")
 def mixed_partition_layout(t: Tables) -> DataFrame:
     old, new = work_path(t.spark, "by-month"), work_path(t.spark, "by-year-day")
     orders = t.orders.select("o_orderkey", "o_orderdate", "o_totalprice")
-    cut = F.lit("2000-01-01").cast("timestamp_ntz")
+    cut = F.lit("2001-01-01").cast("timestamp_ntz")
     layout.write_by_month(orders.filter(F.col("o_orderdate") < cut), old, "o_orderdate")
     layout.write_by_day(orders.filter(F.col("o_orderdate") >= cut), new, "o_orderdate")
     return layout.between_layouts(t.spark.read.parquet(old), t.spark.read.parquet(new), "o_orderdate",
-                                  "1997-03-15", "2000-08-09")
+                                  "1997-03-15", "2001-05-09")
 
 
 @query("partition_rewrite", """

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import calendar_of
-from tidemark.functions.money import rate
+from tidemark.functions.money import money, rate
 from tidemark.plans import behaviour, reports
 from tidemark.plans.tables import Tables
 from tidemark.registry.core import half_up, query
@@ -87,7 +87,7 @@ def discounted_orders(t: Tables) -> DataFrame:
     """Placed orders with store attributes and the discount summed over their lines."""
     lines = t.raw_lines()
     discount = lines.groupBy("order_id").agg(
-        F.sum(F.round(F.col("list_amount") * rate("discount_pct"), 2).cast("decimal(18,2)")).alias("discount_amount"))
+        F.sum(F.round(money("list_amount") * rate("discount_pct"), 2).cast("decimal(18,2)")).alias("discount_amount"))
     return (
         placed_orders(t).join(discount, "order_id", "left")
         .withColumn("discount_amount", F.coalesce("discount_amount", F.lit(0).cast("decimal(28,2)")))

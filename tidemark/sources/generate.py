@@ -55,5 +55,5 @@ def sales_orders(spark: SparkSession, n: int, seed: int = 42, start: str = "2024
         .alias("discount_pct"),
         choice(CHANNELS, u("channel")).alias("channel"),
         choice(REGIONS, u("region")).alias("region"),
-        F.timestamp_seconds(F.unix_timestamp(F.lit(start), F.lit("yyyy-MM-dd"))
+        F.timestamp_seconds(F.unix_timestamp(F.lit(start), "yyyy-MM-dd")
                             + F.floor(u("time") * days * 86_400)).alias("order_ts"))

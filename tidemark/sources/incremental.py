@@ -58,20 +58,20 @@ def rescue_json(lines: DataFrame, schema: StructType, value: str = "value") -> D
     fields whose value has another type. Text that is no JSON object at all is
     rescued under ``_corrupt_record``. Other columns of ``lines`` are kept.
     """
-    raw = F.from_json(F.col(value), "map<string,string>")
     others = [c for c in lines.columns if c != value]
-    parsed = lines.withColumn("__raw", raw)
-    typed = {f.name: _loosely_typed(F.col("__raw")[f.name], f.dataType) for f in schema.fields}
-    unknown = F.map_filter("__raw", lambda k, _: ~k.isin([f.name for f in schema.fields]))
-    misfit = F.map_filter(
-        F.create_map(*[x for f in schema.fields for x in (
-            F.lit(f.name), F.when(typed[f.name].isNull(), F.col("__raw")[f.name]))]),
-        lambda _, v: v.isNotNull())
+    names = schema.names
+    parsed = lines.withColumn("__raw", F.from_json(F.col(value), "map<string,string>"))
+    # Each field is cast once, into a struct that the rescue column looks at too.
+    parsed = parsed.withColumn("__typed", F.struct(*[
+        _loosely_typed(F.col("__raw")[f.name], f.dataType).alias(f.name) for f in schema.fields]))
+    fits = F.array_compact(F.array(*[F.when(F.col("__typed")[n].isNotNull(), F.lit(n)) for n in names]))
+    parsed = parsed.withColumn("__fits", fits)
+    unknown = F.map_filter("__raw", lambda k, _: ~k.isin(names))
+    misfit = F.map_filter("__raw", lambda k, v: k.isin(names) & v.isNotNull() & ~F.array_contains(F.col("__fits"), k))
     rescued = F.when(F.col("__raw").isNull() & F.col(value).isNotNull(),
                      F.create_map(F.lit("_corrupt_record"), F.col(value))).otherwise(F.map_concat(unknown, misfit))
-    return parsed.select(
-        *[typed[f.name].alias(f.name) for f in schema.fields], *others,
-        F.when(F.size(rescued) > 0, F.to_json(rescued)).alias(RESCUED))
+    return parsed.withColumn("__rescued", rescued).select(
+        "__typed.*", *others, F.when(F.size("__rescued") > 0, F.to_json("__rescued")).alias(RESCUED))
 
 
 def rescue_columns(texts: DataFrame, schema: StructType) -> DataFrame:
