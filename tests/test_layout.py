@@ -23,13 +23,13 @@ def test_interleave(spark):
 
 def test_quantile_buckets_follow_a_skewed_distribution(spark):
     df = spark.range(1000).withColumn("v", F.when(F.col("id") < 900, F.col("id")).otherwise(F.col("id") * 1_000_000))
-    sizes = layout.quantile_bucket(df, "v", 8, "b").groupBy("b").count().collect()
+    sizes = layout.quantile_buckets(df, {"v": "b"}, 8).groupBy("b").count().collect()
     assert len(sizes) == 8 and max(r["count"] for r in sizes) < 260
 
 
 def test_quantile_bucket_keeps_null_and_constant_columns(spark):
     df = spark.createDataFrame([(1,), (None,), (1,)], "v int")
-    assert layout.quantile_bucket(df, "v", 4, "b").count() == 3
+    assert layout.quantile_buckets(df, {"v": "b"}, 4).count() == 3
 
 
 def test_zorder_lets_both_columns_skip_files(spark, rows, path):

@@ -60,6 +60,8 @@ def test_append_with_new_column_and_single_file_export(spark, rows, path):
     assert rows(files.read_merged(spark, path + "/t", "a int, b string")) == want
     files.export(spark.range(100).repartition(4), path + "/csv", "csv", single_file=True)
     assert len([n for n in os.listdir(path + "/csv") if n.endswith(".csv")]) == 1
+    with pytest.raises(ValueError):
+        files.export(spark.range(100), path + "/big", "csv", single_file=True, max_rows=99)
 
 
 def test_schema_evolution_modes():

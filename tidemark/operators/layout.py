@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,23 +29,32 @@ def rebalanced(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
-def quantile_bucket(df: DataFrame, column: str, buckets: int, name: str) -> DataFrame:
-    """Add the quantile bucket of a column.
+def _as_number(df: DataFrame, column: str) -> Column:
+    kind = df.schema[column].dataType.typeName()
+    if kind == "string":
+        raise ValueError(f"{column}: rank or hash text before bucketing it")
+    value = F.col(column)
+    if kind in ("timestamp", "timestamp_ntz", "date"):
+        value = F.unix_micros(value.cast("timestamp"))
+    return value.cast("double")
+
+
+def quantile_buckets(df: DataFrame, columns: Mapping[str, str], buckets: int) -> DataFrame:
+    """Add the quantile bucket of each column, under the name given for it.
 
     Buckets follow the distribution, so skewed values do not crowd into one
-    bucket as they would in equal ranges. The driver sees only the bounds.
+    bucket as they would in equal ranges. All bounds come from one pass over the
+    columns, and the driver sees only the bounds.
     """
-    as_number = F.col(column)
-    if df.schema[column].dataType.typeName() in ("timestamp", "timestamp_ntz", "date"):
-        as_number = F.unix_micros(as_number.cast("timestamp"))
-    elif df.schema[column].dataType.typeName() == "string":
-        raise ValueError(f"{column}: rank or hash text before bucketing it")
-    numbered = df.withColumn("__number", as_number.cast("double"))
+    numbers = {c: f"__number_{i}" for i, c in enumerate(columns)}
+    numbered = df.withColumns({n: _as_number(df, c) for c, n in numbers.items()})
     probabilities = [i / buckets for i in range(1, buckets)]
-    bounds = sorted(set(numbered.approxQuantile("__number", probabilities, 1 / (4 * buckets))))
-    splits = [float("-inf"), *bounds, float("inf")]
-    bucketizer = Bucketizer(splits=splits, inputCol="__number", outputCol=name, handleInvalid="keep")
-    return bucketizer.transform(numbered).withColumn(name, F.col(name).cast("int")).drop("__number")
+    quantiles = numbered.approxQuantile(list(numbers.values()), probabilities, 1 / (4 * buckets))
+    splits = [[float("-inf"), *sorted(set(q)), float("inf")] for q in quantiles]
+    bucketizer = Bucketizer(splitsArray=splits, inputCols=list(numbers.values()),
+                            outputCols=list(columns.values()), handleInvalid="keep")
+    bucketed = bucketizer.transform(numbered).drop(*numbers.values())
+    return bucketed.withColumns({name: F.col(name).cast("int") for name in columns.values()})
 
 
 def interleave(columns: Sequence[Column], bits: int) -> Column:
@@ -62,9 +71,7 @@ def interleave(columns: Sequence[Column], bits: int) -> Column:
 def zorder(df: DataFrame, columns: Sequence[str], files: int, bits: int = 6) -> DataFrame:
     """Cluster rows along a Z-order curve over ``columns`` into about ``files`` range partitions."""
     names = [f"__z{i}" for i in range(len(columns))]
-    bucketed = df
-    for column, name in zip(columns, names):
-        bucketed = quantile_bucket(bucketed, column, 2 ** bits - 1, name)
+    bucketed = quantile_buckets(df, dict(zip(columns, names)), 2 ** bits - 1)
     # One code per cell, and the columns themselves to split a crowded cell.
     code = interleave([F.coalesce(F.col(n), F.lit(0)) for n in names], bits)
     return (

@@ -32,7 +32,9 @@ def expect(df: DataFrame, rules: Rules, observation: Observation | None = None)
 
     Rows that break a drop rule are removed; a row that breaks a fail rule
     aborts the job, so nothing is committed; warn rules keep every row. With an
-    ``observation`` the counts are collected by the job that consumes the result.
+    ``observation`` the counts are collected by the job that consumes the result;
+    they are exact when no shuffle lies between this step and the write (stages
+    that are run again after a lost executor would count twice).
     """
     _check(rules)
     if observation is not None:

@@ -84,22 +84,24 @@ def product_performance(facts: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def discount_impact(priced: DataFrame, statuses: list[str]) -> DataFrame:
-    """Revenue and weighted discount per day, region, category and channel."""
-    gross, net, n = F.sum("gross"), F.sum("net"), F.sum("lines")
-    grain = ("order_date", "region", "category", "channel")
-    per_customer = (
-        priced.filter(F.col("status").isin(statuses))
-        .groupBy(*grain, "customer_id")
-        .agg(
-            F.count("order_id").alias("lines"),
-            F.sum("quantity").alias("units"),
-            F.sum("gross_revenue").alias("gross"),
-            F.sum("net_revenue").alias("net"),
-            F.sum("discount_pct").alias("discounts"),
-        )
+DISCOUNT_GRAIN = ("order_date", "region", "category", "channel")
+
+
+def customer_day_sales(priced: DataFrame, statuses: list[str]) -> DataFrame:
+    """Priced lines of some statuses, reduced to one row per day, region, category, channel and customer."""
+    return priced.filter(F.col("status").isin(statuses)).groupBy(*DISCOUNT_GRAIN, "customer_id").agg(
+        F.count("order_id").alias("lines"),
+        F.sum("quantity").alias("units"),
+        F.sum("gross_revenue").alias("gross"),
+        F.sum("net_revenue").alias("net"),
+        F.sum("discount_pct").alias("discounts"),
     )
-    return per_customer.groupBy(*grain).agg(
+
+
+def discount_impact(sales: DataFrame) -> DataFrame:
+    """Revenue and weighted discount per day, region, category and channel, from customer-day sales."""
+    gross, net, n = F.sum("gross"), F.sum("net"), F.sum("lines")
+    return sales.groupBy(*DISCOUNT_GRAIN).agg(
         n.alias("order_count"),
         F.count("customer_id").alias("unique_customers"),
         F.sum("units").alias("total_units_sold"),
@@ -111,32 +113,33 @@ def discount_impact(priced: DataFrame, statuses: list[str]) -> DataFrame:
     )
 
 
-def region_rollup(gold: DataFrame, priced: DataFrame, statuses: list[str]) -> DataFrame:
-    """Roll the discount table up to regions.
+def region_rollup(sales: DataFrame) -> DataFrame:
+    """Roll customer-day sales up to regions.
 
     ``sum_unique_customers`` and ``avg_of_avg_order_value`` are the sum of
-    distinct counts and the average of averages; ``unique_customers`` and
-    ``avg_order_value`` are the correct figures beside them.
+    distinct counts and the average of averages over the rows of
+    ``discount_impact``; ``unique_customers`` and ``avg_order_value`` are the
+    correct figures beside them. Both groupings come from one pass.
     """
-    amount = lambda c: F.col(c).cast("decimal(18,2)")
-    summed = gold.groupBy("region").agg(
-        F.sum(amount("gross_revenue")).cast("double").alias("total_gross_revenue"),
-        F.sum(amount("net_revenue")).cast("double").alias("total_net_revenue"),
-        F.sum("order_count").alias("total_orders"),
-        F.sum("unique_customers").alias("sum_unique_customers"),
-        rounded_ratio(F.sum(amount("avg_order_value")), F.count("avg_order_value")).alias("avg_of_avg_order_value"),
+    by_grain = [F.col(c) for c in DISCOUNT_GRAIN]
+    by_customer = [F.col("region"), F.col("customer_id")]
+    sets = sales.groupingSets([by_grain, by_customer], *DISCOUNT_GRAIN, "customer_id").agg(
+        F.grouping("customer_id").alias("is_grain"),
+        F.sum("lines").alias("lines"), F.sum("gross").alias("gross"), F.sum("net").alias("net"),
+        F.count(F.lit(1)).alias("customers"),
     )
-    exact = (
-        priced.filter(F.col("status").isin(statuses))
-        .groupBy("region", "customer_id")
-        .agg(F.sum("net_revenue").alias("net"), F.count("order_id").alias("lines"))
-        .groupBy("region")
-        .agg(
-            F.count("customer_id").alias("unique_customers"),
-            rounded_ratio(F.sum("net"), F.sum("lines")).alias("avg_order_value"),
-        )
+    of_grain = lambda c: F.when(F.col("is_grain") == 1, c)
+    average = of_grain(F.round(F.try_divide(F.col("net").cast("decimal(28,6)"),
+                                            F.col("lines").cast("decimal(28,6)")), 2).cast("decimal(18,2)"))
+    return sets.groupBy("region").agg(
+        F.sum(of_grain(F.col("gross"))).cast("double").alias("total_gross_revenue"),
+        F.sum(of_grain(F.col("net"))).cast("double").alias("total_net_revenue"),
+        F.sum(of_grain(F.col("lines"))).alias("total_orders"),
+        F.sum(of_grain(F.col("customers"))).alias("sum_unique_customers"),
+        rounded_ratio(F.sum(average), F.count(average)).alias("avg_of_avg_order_value"),
+        F.count_if(F.col("is_grain") == 0).alias("unique_customers"),
+        rounded_ratio(F.sum(of_grain(F.col("net"))), F.sum(of_grain(F.col("lines")))).alias("avg_order_value"),
     )
-    return summed.join(exact, "region")
 
 
 def store_day_revenue(orders: DataFrame) -> DataFrame:

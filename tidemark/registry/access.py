@@ -261,10 +261,11 @@ LEFT JOIN rates ON name = r_name WHERE c_acctbal > 0""")
 def converted_balances(t: Tables) -> DataFrame:
     rates = files.values_table(t.spark, RATES, "region string, rate string").withColumn(
         "rate", F.col("rate").cast("decimal(6,4)"))
-    balances = t.customers().join(t.customer.filter("c_acctbal > 0").select(
-        F.col("c_custkey").alias("customer_id"), F.col("c_acctbal").cast("decimal(18,2)").alias("amount")), "customer_id")
+    home = t.stores().select(F.col("store_id").alias("c_nationkey"), F.col("store_region").alias("region"))
+    balances = t.customer.filter("c_acctbal > 0").join(home, "c_nationkey").select(
+        "c_custkey", "region", F.col("c_acctbal").cast("decimal(18,2)").alias("amount"))
     converted = joins.convert_amounts(balances, rates, "region", "amount", "balance")
-    return converted.select(F.col("customer_id").alias("c_custkey"), "region", F.col("balance").cast("double"))
+    return converted.select("c_custkey", "region", F.col("balance").cast("double"))
 
 
 @query("events_in_utc", """

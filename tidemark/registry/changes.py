@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import changes, deltalog, history, snapshots
 from tidemark.plans.tables import Tables
 from tidemark.registry.core import query
-from tidemark.session import work_path
+from tidemark.session import stored, work_path
 
 ORDER_COLUMNS = ["order_id", "customer_id", "status", "order_date", "order_amount"]
 
@@ -118,6 +118,7 @@ def user_state(t: Tables) -> DataFrame:
     state = None
     for half in event_halves(t):
         state = changes.apply_cdc(state, half, ["user_id"], ["ts", "event_id"], F.col("event_type") == "error")
+        state = stored(state, "user-state")  # each batch starts from the written table
     return state
 
 
@@ -126,6 +127,7 @@ def user_history(t: Tables) -> DataFrame:
     for half in event_halves(t):
         rows = history.apply_scd2(rows, half.drop("props"), ["user_id"], ["ts", "event_id"],
                                   F.date_trunc("hour", F.col("__sequence.ts")), F.col("event_type") == "error")
+        rows = stored(rows, "user-history")
     return rows
 
 
@@ -190,7 +192,8 @@ def logged_table(t: Tables) -> tuple[str, DataFrame, DataFrame]:
 def precombine_upsert(t: Tables) -> DataFrame:
     base = changes.live_rows(user_base(t))
     for batch in user_batches(t):
-        base = deltalog.precombine_upsert(base, changes.live_rows(batch), ["user_id"], ["ts", "event_id"])
+        base = deltalog.precombine_upsert(stored(base, "user-table"), changes.live_rows(batch), ["user_id"],
+                                          ["ts", "event_id"])
     return base
 
 

@@ -114,7 +114,7 @@ SELECT order_date, region, category, channel, order_count, unique_customers, tot
        CAST(gross AS DOUBLE) / 100 AS gross_revenue, CAST(net AS DOUBLE) / 100 AS net_revenue,
        avg_order_value, avg_discount_pct, discount_impact_pct FROM gold""")
 def discount_impact(t: Tables) -> DataFrame:
-    return gold.discount_impact(priced_lines(t), REVENUE_STATUSES)
+    return gold.discount_impact(gold.customer_day_sales(priced_lines(t), REVENUE_STATUSES))
 
 
 @query("region_rollup", "WITH" + PRICED_SQL + """,
@@ -129,8 +129,7 @@ SELECT s.*, e.unique_customers, e.avg_order_value FROM summed s JOIN (
          """ + half_up("sum(net)", "count(*) * 100") + """ AS avg_order_value
   FROM priced WHERE status IN ('F', 'O') GROUP BY 1) e ON s.region = e.region""")
 def region_rollup(t: Tables) -> DataFrame:
-    priced = priced_lines(t)
-    return gold.region_rollup(gold.discount_impact(priced, REVENUE_STATUSES), priced, REVENUE_STATUSES)
+    return gold.region_rollup(gold.customer_day_sales(priced_lines(t), REVENUE_STATUSES))
 
 
 @query("store_day_revenue", """

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the operators rely on. Adaptive execution splits skewed join
 # partitions and coalesces small ones, so the number of shuffle partitions only
@@ -17,6 +17,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A skewed join below an aggregate on the same key is only split when this is on.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Keeps streaming state off the heap, so it may outgrow executor memory.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 _TARGET_PARTITION_BYTES = 128 * 1024 * 1024
@@ -71,3 +74,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists on whatever file system the path names."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` under the shared folder and read it back, which cuts its lineage for good."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -61,10 +61,16 @@ def without_audit(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("_")])
 
 
-def export(df: DataFrame, path: str, fmt: str, single_file: bool = False, **options) -> None:
-    """Write CSV or JSON files; ``single_file`` is for small exports only, as one task writes it all."""
-    out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").format(fmt).options(**({"header": True} if fmt == "csv" else {}), **options).save(path)
+def export(df: DataFrame, path: str, fmt: str, single_file: bool = False, max_rows: int = 1_000_000, **options) -> None:
+    """Write CSV or JSON files.
+
+    One file means one task, so ``single_file`` is refused above ``max_rows``.
+    """
+    if single_file:
+        if df.limit(max_rows + 1).count() > max_rows:
+            raise ValueError(f"more than {max_rows} rows do not belong in one file")
+        df = df.coalesce(1)
+    df.write.mode("overwrite").format(fmt).options(**({"header": True} if fmt == "csv" else {}), **options).save(path)
 
 
 def append(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
