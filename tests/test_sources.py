@@ -114,6 +114,17 @@ def test_inference_can_be_limited_to_new_files(spark, path):
     assert incremental.infer_schema(spark, path + "/in", "json").names == ["a", "b"]
 
 
+def test_stored_schema_limits_the_next_inference(spark, path):
+    old = put(path + "/in", "1.json", '{"a": 1}\n')
+    args = (spark, path + "/in", "json", path + "/schema", "addNewColumns")
+    assert incremental.prepare_schema(*args).names == ["a"]
+    os.utime(old, (time.time() - 3 * 86_400,) * 2)
+    assert incremental.prepare_schema(*args).names == ["a"]  # nothing pending
+    put(path + "/in", "2.json", '{"b": 1}\n')
+    assert incremental.prepare_schema(*args).names == ["a", "b"]
+    assert schemas.stored_schema(spark, path + "/schema")[0].names == ["a", "b"]
+
+
 def test_rescue_json(spark, rows):
     schema = StructType.fromDDL("id bigint, price double, day date, tags array<string>, s struct<x: int>")
     lines = spark.createDataFrame([

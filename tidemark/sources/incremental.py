@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampNTZType, TimestampType
@@ -28,18 +31,26 @@ def infer_schema(spark: SparkSession, path: str, fmt: str, typed: bool = True, m
 
 
 def prepare_schema(spark: SparkSession, path: str, fmt: str, location: str, mode: str,
-                   modified_after: str | None = None, **options) -> StructType:
+                   overlap: timedelta = timedelta(days=1), **options) -> StructType:
     """Infer, compare with the stored schema, store and return the schema of the next load.
 
     A stream's schema is fixed when it starts, so this runs before each start.
+    Only files that arrived since the last inference (less ``overlap``, for
+    clocks that differ) are scanned, so the cost follows the new data.
     """
-    stored = stored_schema(spark, location)
+    stored, inferred_at = stored_schema(spark, location)
     if stored is not None and mode in ("rescue", "none"):
         return stored
-    found = infer_schema(spark, path, fmt, modified_after=modified_after, **options)
+    started = datetime.now(timezone.utc)
+    since = inferred_at and (inferred_at - overlap).strftime("%Y-%m-%dT%H:%M:%S")
+    try:
+        found = infer_schema(spark, path, fmt, modified_after=since, **options)
+    except AnalysisException as error:
+        if stored is None or error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        found = stored  # no file arrived
     schema = evolve(stored, found, mode)
-    if schema != stored:
-        store_schema(spark, location, schema)
+    store_schema(spark, location, schema, started)
     return schema
 
 
@@ -118,8 +129,7 @@ def load_files(spark: SparkSession, path: str, fmt: str, registry: str, evolutio
     ``evolution`` is addNewColumns, rescue, failOnNewColumns or none. Adds
     ``_source_file`` and ``_load_time``, and ``_rescued_data`` in rescue mode.
     """
-    modified_after = options.pop("modified_after", None)
-    schema = prepare_schema(spark, path, fmt, registry, evolution, modified_after)
+    schema = prepare_schema(spark, path, fmt, registry, evolution)
     provenance = {"_source_file": F.col("_metadata.file_path"), "_load_time": F.current_timestamp()}
     if evolution != "rescue":
         defaults = {"header": "true"} if fmt == "csv" else {}
@@ -128,7 +138,7 @@ def load_files(spark: SparkSession, path: str, fmt: str, registry: str, evolutio
         lines = file_stream(spark, path, "text", "value string", **options).withColumns(provenance)
         return rescue_json(lines, schema)
     if fmt == "csv":
-        found = infer_schema(spark, path, "csv", typed=False, modified_after=modified_after)
+        found = infer_schema(spark, path, "csv", typed=False)
         names = [f.name for f in schema.fields] + [f.name for f in found.fields if f.name not in schema.names]
         texts = StructType([StructField(n, StringType(), True) for n in names])
         stream = file_stream(spark, path, "csv", texts, header="true", enforceSchema="false", **options)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from datetime import datetime
 
 from pyspark.sql import SparkSession
 from pyspark.sql.types import (DataType, DecimalType, DoubleType, FloatType, IntegerType, LongType, NullType,
@@ -16,20 +17,25 @@ MODES = ("addNewColumns", "rescue", "failOnNewColumns", "none")
 _WIDENING = (IntegerType(), LongType(), FloatType(), DoubleType())
 
 
+_ENTRY = "schema_json string, inferred_at string"
+
+
 class NewColumns(ValueError):
     """The files have fields that the stored schema lacks."""
 
 
-def stored_schema(spark: SparkSession, location: str) -> StructType | None:
-    """The stored schema, or None before the first load."""
+def stored_schema(spark: SparkSession, location: str) -> tuple[StructType | None, datetime | None]:
+    """The newest stored schema and the time of its inference; (None, None) before the first load."""
     if not path_exists(spark, location):
-        return None
-    return StructType.fromJson(json.loads(spark.read.text(location, wholetext=True).first()[0]))
+        return None, None
+    newest = spark.read.schema(_ENTRY).json(location).orderBy("inferred_at", ascending=False).first()
+    return StructType.fromJson(json.loads(newest.schema_json)), datetime.fromisoformat(newest.inferred_at)
 
 
-def store_schema(spark: SparkSession, location: str, schema: StructType) -> None:
-    row = [(schema.json(),)]
-    spark.createDataFrame(row, "value string").coalesce(1).write.mode("overwrite").text(location)
+def store_schema(spark: SparkSession, location: str, schema: StructType, inferred_at: datetime) -> None:
+    """Append an entry; an interrupted write leaves the entry before it in force."""
+    row = [(schema.json(), inferred_at.isoformat(timespec="microseconds"))]
+    spark.createDataFrame(row, _ENTRY).coalesce(1).write.mode("append").json(location)
 
 
 def new_fields(stored: StructType, found: StructType) -> list[StructField]:
