@@ -84,6 +84,8 @@ def test_upsert_with_delete(spark, rows):
          ("n", 9, 1, None)], KV + ", op string")
     got = rows(changes.upsert_with_delete(target, batch, ["k"], F.col("op") == "DELETE", newest()))
     assert got == [("b", 6, 2), ("n", 9, 1)]
+    first = changes.upsert_with_delete(None, batch, ["k"], F.col("op") == "DELETE", newest())
+    assert rows(first, "k", "v") == [("b", 6), ("n", 9)]
 
 
 def test_update_and_delete_where_leave_null_conditions_alone(spark, rows):

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.operators import metadata
 from tidemark.sources import files, generate, incremental, jdbc, messages, schemas
 from tidemark.streaming import runs
 
@@ -21,6 +22,15 @@ def run(stream, path):
     runs.run_available(stream, f"{path}/table", f"{path}/checkpoint")
 
 
+def test_create_table_as(spark, rows):
+    files.create_table(spark.range(3), "ctas")
+    files.create_table(spark.range(2), "ctas")
+    assert rows(spark.table("ctas")) == [(0,), (1,)]
+    with pytest.raises(Exception, match="exists"):
+        files.create_table(spark.range(1), "ctas", replace=False)
+    spark.sql("DROP TABLE ctas")
+
+
 def test_csv_inferred_and_with_schema(spark, rows, path):
     put(path + "/in", "a.csv", "id,price\n1,2.5\n2,\n")
     assert files.read_csv(spark, path + "/in").dtypes == [("id", "int"), ("price", "double")]
@@ -88,7 +98,9 @@ def test_loader_takes_each_file_once(spark, rows, path):
     put(landing, "2.json", "".join(json.dumps({"id": i}) + "\n" for i in range(30, 50)))
     run(incremental.load_files(spark, landing, "json", path + "/schema", "none"), path)
     table = spark.read.parquet(path + "/table")
-    assert rows(table.agg(F.count("*"), F.countDistinct("_source_file"))) == [(50, 2)]
+    assert rows(metadata.source_file_totals(table, "_source_file")) == [(50, 2)]
+    per_file = metadata.source_file_counts(table, "_source_file", "_load_time")
+    assert [r.records for r in per_file.orderBy("first_load").collect()] == [30, 20]
 
 
 def test_new_column_is_null_in_old_rows(spark, rows, path):
@@ -117,11 +129,11 @@ def test_inference_can_be_limited_to_new_files(spark, path):
 def test_stored_schema_limits_the_next_inference(spark, path):
     old = put(path + "/in", "1.json", '{"a": 1}\n')
     args = (spark, path + "/in", "json", path + "/schema", "addNewColumns")
-    assert incremental.prepare_schema(*args).names == ["a"]
+    assert incremental.prepare_schema(*args)[1] == ["a"]
     os.utime(old, (time.time() - 3 * 86_400,) * 2)
-    assert incremental.prepare_schema(*args).names == ["a"]  # nothing pending
+    assert incremental.prepare_schema(*args)[1] == ["a"]  # nothing pending
     put(path + "/in", "2.json", '{"b": 1}\n')
-    assert incremental.prepare_schema(*args).names == ["a", "b"]
+    assert incremental.prepare_schema(*args)[1] == ["a", "b"]
     assert schemas.stored_schema(spark, path + "/schema")[0].names == ["a", "b"]
 
 
@@ -150,6 +162,36 @@ def test_rescue_csv_stream(spark, rows, path):
         (None, 3.0, '{"id":"x"}'), (1, 2.5, None)]
 
 
+def test_csv_gains_a_column(spark, rows, path):
+    """A longer header in a later file: added, rescued, ignored or refused, by mode."""
+    want = {"addNewColumns": [(1, None), (2, "x"), (3, None)], "none": [(1,), (2,), (3,)],
+            "rescue": [(1, None), (2, '{"more":"x"}'), (3, None)]}
+    for mode, expected in want.items():
+        root = f"{path}/{mode}"
+        put(root + "/in", "1.csv", "id\n1\n")
+        run(incremental.load_files(spark, root + "/in", "csv", root + "/schema", mode), root)
+        put(root + "/in", "2.csv", "id,more\n2,x\n")
+        put(root + "/in", "3.csv", "id\n3\n")
+        stream = incremental.load_files(spark, root + "/in", "csv", root + "/schema", mode)
+        run(stream, root)
+        table = spark.read.schema(stream.schema).parquet(root + "/table").drop("_source_file", "_load_time")
+        assert rows(table) == expected, mode
+    put(path + "/fail", "1.csv", "id\n1\n")
+    incremental.load_files(spark, path + "/fail", "csv", path + "/fail-schema", "failOnNewColumns")
+    put(path + "/fail", "2.csv", "id,more\n2,x\n")
+    with pytest.raises(schemas.NewColumns):
+        incremental.load_files(spark, path + "/fail", "csv", path + "/fail-schema", "failOnNewColumns")
+
+
+def test_csv_headers_in_another_order_are_refused(spark, path):
+    put(path + "/in", "1.csv", "id,name\n1,a\n")
+    put(path + "/in", "2.csv", "name,id\nb,2\n")
+    for mode in ("rescue", "addNewColumns", "none"):
+        with pytest.raises(incremental.MixedLayout):
+            incremental.load_files(spark, path + "/in", "csv", f"{path}/schema-{mode}", mode)
+    assert incremental.csv_names(["a"], [["a", "b", "c"], ["a", "b"]]) == ["a", "b", "c"]
+
+
 def test_rescue_columns_keeps_unknown_columns(spark, rows):
     texts = spark.createDataFrame([("1", "a", "f"), ("z", None, "g")], "id string, more string, _source_file string")
     got = rows(incremental.rescue_columns(texts, StructType.fromDDL("id int, missing double")))

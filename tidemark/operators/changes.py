@@ -42,11 +42,17 @@ def upsert_columns(target: DataFrame, changes: DataFrame, keys: Sequence[str], c
     return updated.unionByName(inserted.select(*target.columns))
 
 
-def upsert_with_delete(target: DataFrame, changes: DataFrame, keys: Sequence[str], delete_when: Column,
+def upsert_with_delete(target: DataFrame | None, changes: DataFrame, keys: Sequence[str], delete_when: Column,
                        order_by: Sequence[Column]) -> DataFrame:
-    """Apply the latest change per key: delete, replace or insert. An unmatched delete does nothing."""
+    """Apply the latest change per key: delete, replace or insert. An unmatched delete does nothing.
+
+    Without a target (the first run) the result is the table to create.
+    """
     latest = latest_per_key(changes.withColumn(DELETED, F.coalesce(delete_when, F.lit(False))), keys, order_by)
-    kept = latest.filter(~F.col(DELETED)).select(*target.columns)
+    kept = latest.filter(~F.col(DELETED)).drop(DELETED)
+    if target is None:
+        return kept
+    kept = kept.select(*target.columns)
     return without_keys(target, latest, keys).unionByName(kept)
 
 

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.money import money, rate
 from tidemark.operators.dedup import latest_per_key
 
+def standardize(df: DataFrame, trim: Sequence[str] = (), upper: Sequence[str] = ()) -> DataFrame:
+    """Trim text columns, and trim and upper-case others."""
+    return df.withColumns({**{c: F.trim(c) for c in trim}, **{c: F.upper(F.trim(c)) for c in upper}})
+
+
 LINE_KEY = ("order_id", "line_number")
 
 

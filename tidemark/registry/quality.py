@@ -131,3 +131,13 @@ def imputed_events(t: Tables) -> DataFrame:
         "event_id", F.when(F.col("event_type") == "purchase", F.col("value")).alias("purchase_value"),
         F.when(F.col("event_type").isin("view", "click", "purchase"), F.col("event_type")).alias("step"))
     return quality.impute(sparse, {"purchase_value": 0.0, "step": "other"})
+
+
+@query("standardized_suppliers", """
+SELECT s_suppkey, trim('  ' || s_name) AS s_name, upper(trim(n_name || ' ')) AS n_name
+FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey IS NOT NULL""")
+def standardized_suppliers(t: Tables) -> DataFrame:
+    untidy = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        "s_suppkey", F.concat(F.lit("  "), "s_name").alias("s_name"), F.concat(F.lower("n_name"), F.lit(" ")).alias("n_name"))
+    rules = {"valid_key": ("s_suppkey IS NOT NULL", "drop")}
+    return quality.expect(silver.standardize(untidy, trim=["s_name"], upper=["n_name"]), rules)

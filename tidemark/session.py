@@ -22,7 +22,9 @@ RUNTIME_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
-_TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+_TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+# Beyond this, the blocks of a shuffle (map tasks times partitions) cost more than larger partitions do.
+_MOST_PARTITIONS = 50_000
 
 
 def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
@@ -35,18 +37,37 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def apply_runtime_conf(spark: SparkSession) -> SparkSession:
-    """Set the runtime settings that the launcher of this session left unset."""
+def apply_runtime_conf(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
+    """Set the runtime settings that the launcher of this session left unset.
+
+    Without a launcher's choice, streams get one state partition per core, and
+    batch shuffles start with a number that fits the input, which adaptive
+    execution then coalesces to the data that really flows.
+    """
     launched = spark.sparkContext.getConf()
     for key, value in RUNTIME_CONF.items():
         if key == "spark.sql.session.timeZone" or not launched.contains(key):
             spark.conf.set(key, value)
+    if not launched.contains("spark.sql.shuffle.partitions"):
+        cores = spark.sparkContext.defaultParallelism
+        if not spark.sparkContext.master.startswith("local"):
+            cores = max(cores, 200)  # executors may still be starting
+        spark.conf.set("spark.sql.shuffle.partitions", str(cores))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+                       str(shuffle_partitions(input_bytes, cores)))
     return spark
 
 
-def shuffle_partitions(shuffled_bytes: int, cores: int) -> int:
-    """Shuffle partitions of about 128 MB each, at least one per core."""
-    return max(cores, -(-shuffled_bytes // _TARGET_PARTITION_BYTES))
+def shuffle_partitions(input_bytes: int, cores: int) -> int:
+    """Shuffle partitions of about 256 MB each, at least one per core."""
+    return min(max(cores, -(-input_bytes // _TARGET_PARTITION_BYTES)), max(cores, _MOST_PARTITIONS))
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Total length of the files below a folder (file system metadata only)."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    file_system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return file_system.getContentSummary(target).getLength()
 
 
 def shared_dir(spark: SparkSession) -> str:

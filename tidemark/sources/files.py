@@ -78,6 +78,11 @@ def append(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
+def create_table(df: DataFrame, name: str, replace: bool = True) -> None:
+    """CREATE [OR REPLACE] TABLE ... AS SELECT."""
+    df.write.mode("overwrite" if replace else "error").saveAsTable(name)
+
+
 def read_merged(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """Read parquet files whose columns grew over time; missing columns are NULL.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from datetime import datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
@@ -10,48 +11,102 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampNTZType, TimestampType
 
 from tidemark.session import path_exists
-from tidemark.sources.schemas import evolve, store_schema, stored_schema
+from tidemark.sources.schemas import evolve, store_schema, stored_schema, union_schema
 
 RESCUED = "_rescued_data"
 
 
-def infer_schema(spark: SparkSession, path: str, fmt: str, typed: bool = True, modified_after: str | None = None,
-                 **options) -> StructType:
+class MixedLayout(ValueError):
+    """CSV files whose headers disagree about the position of a column."""
+
+
+def csv_headers(spark: SparkSession, path: str, modified_after: str | None = None) -> DataFrame:
+    """The header line of every CSV file below a folder.
+
+    The first block of a file is read by one task from top to bottom, so the
+    first line it meets is the header.
+    """
+    lines = spark.read.options(**_arrived_after(modified_after)).text(path)
+    return lines.filter(F.col("_metadata.file_block_start") == 0).groupBy(
+        F.col("_metadata.file_path").alias("file")).agg(F.first("value").alias("header"))
+
+
+def csv_layouts(spark: SparkSession, path: str, modified_after: str | None = None) -> list[list[str]]:
+    """The distinct headers, longest first: one entry per layout, however many files there are."""
+    found = csv_headers(spark, path, modified_after).select("header").distinct().collect()
+    return sorted((next(csv.reader([r.header])) for r in found), key=lambda names: (-len(names), names))
+
+
+def csv_names(schema_names: list[str], layouts: list[list[str]]) -> list[str]:
+    """Schema columns followed by the columns that only the files have.
+
+    CSV is read by position, so every header must agree with this order as far
+    as it goes; files that lack the last columns are fine.
+    """
+    names = list(schema_names)
+    for layout in layouts:
+        names += [n for n in layout if n not in names]
+    for layout in layouts:
+        if layout != names[:len(layout)]:
+            raise MixedLayout(f"header {layout} does not start like {names}")
+    return names
+
+
+def _arrived_after(modified_after: str | None) -> dict[str, str]:
+    return {"modifiedAfter": modified_after} if modified_after else {}
+
+
+def infer_schema(spark: SparkSession, path: str, fmt: str, modified_after: str | None = None, **options) -> StructType:
     """Schema of the pending files.
 
     ``modified_after`` (an ISO time) limits the scan to files that arrived since
     the last load, so the cost follows the new data and not the whole folder.
-    With ``typed=False`` every column is text.
+    CSV files of several layouts are inferred per layout, as Spark takes the
+    header of one file for all.
     """
-    extra = {"modifiedAfter": modified_after} if modified_after else {}
-    if fmt == "csv":
-        options = {"header": True, **options}
-    inference = {"csv": {"inferSchema": typed}, "json": {"primitivesAsString": not typed}}.get(fmt, {})
-    return spark.read.format(fmt).options(**options, **inference, **extra).load(path).schema
+    reader = spark.read.format(fmt).options(**options, **_arrived_after(modified_after))
+    if fmt != "csv":
+        return reader.load(path).schema
+    reader = reader.option("header", True).option("inferSchema", True)
+    layouts = csv_layouts(spark, path, modified_after)
+    if len(layouts) < 2:
+        return reader.load(path).schema
+    by_file = csv_headers(spark, path, modified_after)
+    found = None
+    for (header,) in by_file.select("header").distinct().orderBy("header").collect():
+        files = [r.file for r in by_file.filter(F.col("header") == header).select("file").collect()]
+        one = reader.load(files).schema
+        found = one if found is None else union_schema(found, one)
+    types = {f.name: f for f in found.fields}
+    return StructType([types[n] for n in csv_names([], layouts)])
 
 
 def prepare_schema(spark: SparkSession, path: str, fmt: str, location: str, mode: str,
-                   overlap: timedelta = timedelta(days=1), **options) -> StructType:
-    """Infer, compare with the stored schema, store and return the schema of the next load.
-
-    A stream's schema is fixed when it starts, so this runs before each start.
-    Only files that arrived since the last inference (less ``overlap``, for
-    clocks that differ) are scanned, so the cost follows the new data.
+                   overlap: timedelta = timedelta(days=1), **options) -> tuple[StructType, list[str]]:
+    """Infer, compare with the stored schema, and store it.
+
+    Returns the schema of the next load and the column names by position in the
+    files (which for CSV may go on beyond the schema). A stream's schema is
+    fixed when it starts, so this runs before each start. Only files that
+    arrived since the last load (less ``overlap``, for clocks that differ) are
+    scanned, so the cost follows the new data.
     """
-    stored, inferred_at = stored_schema(spark, location)
-    if stored is not None and mode in ("rescue", "none"):
-        return stored
+    stored, loaded_at = stored_schema(spark, location)
+    fixed = stored is not None and mode in ("rescue", "none")
+    if fixed and fmt != "csv":
+        return stored, stored.names
     started = datetime.now(timezone.utc)
-    since = inferred_at and (inferred_at - overlap).strftime("%Y-%m-%dT%H:%M:%S")
+    since = loaded_at and (loaded_at - overlap).strftime("%Y-%m-%dT%H:%M:%S")
     try:
-        found = infer_schema(spark, path, fmt, modified_after=since, **options)
+        found = stored if fixed else infer_schema(spark, path, fmt, since, **options)
     except AnalysisException as error:
         if stored is None or error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
         found = stored  # no file arrived
     schema = evolve(stored, found, mode)
+    names = csv_names(schema.names, csv_layouts(spark, path, since)) if fmt == "csv" else schema.names
     store_schema(spark, location, schema, started)
-    return schema
+    return schema, names
 
 
 def _loosely_typed(raw: Column, data_type) -> Column:
@@ -129,19 +184,17 @@ def load_files(spark: SparkSession, path: str, fmt: str, registry: str, evolutio
     ``evolution`` is addNewColumns, rescue, failOnNewColumns or none. Adds
     ``_source_file`` and ``_load_time``, and ``_rescued_data`` in rescue mode.
     """
-    schema = prepare_schema(spark, path, fmt, registry, evolution)
+    schema, names = prepare_schema(spark, path, fmt, registry, evolution)
     provenance = {"_source_file": F.col("_metadata.file_path"), "_load_time": F.current_timestamp()}
     if evolution != "rescue":
-        defaults = {"header": "true"} if fmt == "csv" else {}
-        return file_stream(spark, path, fmt, schema, **defaults, **options).withColumns(provenance)
+        header = {"header": "true"} if fmt == "csv" else {}
+        return file_stream(spark, path, fmt, schema, **header, **options).withColumns(provenance)
     if fmt == "json":
         lines = file_stream(spark, path, "text", "value string", **options).withColumns(provenance)
         return rescue_json(lines, schema)
     if fmt == "csv":
-        found = infer_schema(spark, path, "csv", typed=False)
-        names = [f.name for f in schema.fields] + [f.name for f in found.fields if f.name not in schema.names]
         texts = StructType([StructField(n, StringType(), True) for n in names])
-        stream = file_stream(spark, path, "csv", texts, header="true", enforceSchema="false", **options)
+        stream = file_stream(spark, path, "csv", texts, header="true", **options)
         return rescue_columns(stream.withColumns(provenance), schema)
     raise ValueError(f"rescue mode reads json and csv, not {fmt}")
 
