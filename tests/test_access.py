@@ -97,6 +97,17 @@ def test_rounded_ratio_is_half_up_and_null_on_zero(spark):
     assert tuple(row) == (1.34, None, 33.33, None)
 
 
+def test_cents_are_exact_and_shares_round_half_away_from_zero(spark, rows):
+    df = spark.createDataFrame([(i / 100,) for i in range(-20_000, 20_000, 7)], "v double")
+    wrong = df.filter(money.cents("v") != F.round(F.col("v").cast("decimal(18,2)") * 100).cast("bigint"))
+    assert wrong.count() == 0
+    share = money.share_of(F.col("c"), F.lit(5_000))
+    assert rows(spark.createDataFrame([(3,), (-3,), (1,), (0,)], "c bigint").select("c", share)) == [
+        (-3, -2), (0, 0), (1, 1), (3, 2)]
+    net = money.share_of(money.cents(F.lit(10.1)), 10_000 - money.basis_points(F.lit(0.125)))
+    assert spark.range(1).select(net, money.amount(F.lit(1010))).first() == (884, 10.1)
+
+
 def test_lineage(spark, rows):
     edges = spark.createDataFrame(
         [("raw.a", "silver.b", "ann", 1, "x", "y"), ("raw.a", "silver.c", "bob", 2, "x", "z"),

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.functions.money import ratio, rounded_ratio
+from tidemark.functions.money import amount, ratio, rounded_ratio, sum_cents
 
 
 def funnel(events: DataFrame, steps: Sequence[str]) -> DataFrame:
@@ -66,7 +66,7 @@ def churn_features(orders: DataFrame, run_date: str) -> DataFrame:
         .agg(
             F.datediff(as_of, F.max(F.to_date("order_date"))).alias("recency_days"),
             F.count("*").alias("frequency"),
-            F.sum("order_amount").cast("double").alias("monetary"),
+            amount(sum_cents("order_amount")).alias("monetary"),
             F.datediff(as_of, F.min(F.to_date("order_date"))).alias("tenure_days"),
         )
     )

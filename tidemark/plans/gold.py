@@ -11,14 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.money import ratio, rounded_ratio
+from tidemark.functions.money import amount, cents, mean_cents, ratio, rounded_ratio, sum_cents
 
 
 def daily_revenue(facts: DataFrame, customers: DataFrame) -> DataFrame:
     """Revenue, order lines, items, average line value and customers per day and city."""
     per_customer = facts.groupBy(F.date_trunc("day", "order_date").cast("timestamp_ntz").alias("order_day"),
                                  "customer_id").agg(
-        F.sum("total_amount").alias("revenue"),
+        F.sum("total_cents").alias("revenue"),
         F.count("order_id").alias("lines"),
         F.sum("quantity").alias("items"),
     )
@@ -27,10 +27,10 @@ def daily_revenue(facts: DataFrame, customers: DataFrame) -> DataFrame:
         per_customer.join(customers.select("customer_id", "city"), "customer_id")
         .groupBy("order_day", "city")
         .agg(
-            F.sum("revenue").cast("double").alias("total_revenue"),
+            amount(F.sum("revenue")).alias("total_revenue"),
             F.sum("lines").alias("total_orders"),
             F.sum("items").alias("total_items_sold"),
-            ratio(F.sum("revenue"), F.sum("lines")).alias("avg_order_value"),
+            ratio(amount(F.sum("revenue")), F.sum("lines")).alias("avg_order_value"),
             F.count("customer_id").alias("unique_customers"),
         )
     )
@@ -40,7 +40,7 @@ def customer_summary(facts: DataFrame, customers: DataFrame) -> DataFrame:
     """Lifetime purchases of every customer who bought something."""
     per_product = facts.groupBy("customer_id", "product_id").agg(
         F.count("order_id").alias("lines"),
-        F.sum("total_amount").alias("spend"),
+        F.sum("total_cents").alias("spend"),
         F.sum("quantity").alias("items"),
         F.max("order_date").alias("last_date"),
         F.min("order_date").alias("first_date"),
@@ -55,9 +55,9 @@ def customer_summary(facts: DataFrame, customers: DataFrame) -> DataFrame:
     )
     return per_customer.join(customers, "customer_id").select(
         "customer_id", "customer_name", "city", "tier", "total_orders",
-        F.col("spend").cast("double").alias("lifetime_spend"),
+        amount("spend").alias("lifetime_spend"),
         "total_items", "last_order_date", "first_order_date",
-        rounded_ratio(F.col("spend"), F.col("total_orders")).alias("avg_order_value"),
+        mean_cents(F.col("spend"), F.col("total_orders")).alias("avg_order_value"),
         "unique_products_bought",
     )
 
@@ -67,7 +67,7 @@ def product_performance(facts: DataFrame, products: DataFrame) -> DataFrame:
     per_buyer = facts.groupBy("product_id", "customer_id").agg(
         F.count("order_id").alias("lines"),
         F.sum("quantity").alias("units"),
-        F.sum("total_amount").alias("revenue"),
+        F.sum("total_cents").alias("revenue"),
     )
     per_product = per_buyer.groupBy("product_id").agg(
         F.sum("lines").alias("times_ordered"),
@@ -76,9 +76,9 @@ def product_performance(facts: DataFrame, products: DataFrame) -> DataFrame:
         F.count("customer_id").alias("unique_buyers"),
     )
     return per_product.join(products, "product_id").select(
-        "product_id", "product_name", "category", F.col("price").cast("double").alias("price"),
+        "product_id", "product_name", "category", "price",
         "times_ordered", "total_units_sold",
-        F.col("revenue").cast("double").alias("total_revenue"),
+        amount("revenue").alias("total_revenue"),
         "unique_buyers",
         rounded_ratio(F.col("total_units_sold"), F.col("times_ordered")).alias("avg_units_per_order"),
     )
@@ -92,9 +92,9 @@ def customer_day_sales(priced: DataFrame, statuses: list[str]) -> DataFrame:
     return priced.filter(F.col("status").isin(statuses)).groupBy(*DISCOUNT_GRAIN, "customer_id").agg(
         F.count("order_id").alias("lines"),
         F.sum("quantity").alias("units"),
-        F.sum("gross_revenue").alias("gross"),
-        F.sum("net_revenue").alias("net"),
-        F.sum("discount_pct").alias("discounts"),
+        F.sum("gross_cents").alias("gross"),
+        F.sum("net_cents").alias("net"),
+        F.sum("discount_points").alias("points"),
     )
 
 
@@ -105,10 +105,10 @@ def discount_impact(sales: DataFrame) -> DataFrame:
         n.alias("order_count"),
         F.count("customer_id").alias("unique_customers"),
         F.sum("units").alias("total_units_sold"),
-        gross.cast("double").alias("gross_revenue"),
-        net.cast("double").alias("net_revenue"),
-        rounded_ratio(net, n).alias("avg_order_value"),
-        rounded_ratio(F.sum("discounts"), n, scale=100).alias("avg_discount_pct"),
+        amount(gross).alias("gross_revenue"),
+        amount(net).alias("net_revenue"),
+        mean_cents(net, n).alias("avg_order_value"),
+        rounded_ratio(F.sum("points"), n * 100).alias("avg_discount_pct"),
         rounded_ratio(gross - net, gross, scale=100).alias("discount_impact_pct"),
     )
 
@@ -129,23 +129,22 @@ def region_rollup(sales: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("customers"),
     )
     of_grain = lambda c: F.when(F.col("is_grain") == 1, c)
-    average = of_grain(F.round(F.try_divide(F.col("net").cast("decimal(28,6)"),
-                                            F.col("lines").cast("decimal(28,6)")), 2).cast("decimal(18,2)"))
+    average = of_grain(cents(mean_cents(F.col("net"), F.col("lines"))))
     return sets.groupBy("region").agg(
-        F.sum(of_grain(F.col("gross"))).cast("double").alias("total_gross_revenue"),
-        F.sum(of_grain(F.col("net"))).cast("double").alias("total_net_revenue"),
+        amount(F.sum(of_grain(F.col("gross")))).alias("total_gross_revenue"),
+        amount(F.sum(of_grain(F.col("net")))).alias("total_net_revenue"),
         F.sum(of_grain(F.col("lines"))).alias("total_orders"),
         F.sum(of_grain(F.col("customers"))).alias("sum_unique_customers"),
-        rounded_ratio(F.sum(average), F.count(average)).alias("avg_of_avg_order_value"),
+        mean_cents(F.sum(average), F.count(average)).alias("avg_of_avg_order_value"),
         F.count_if(F.col("is_grain") == 0).alias("unique_customers"),
-        rounded_ratio(F.sum(of_grain(F.col("net"))), F.sum(of_grain(F.col("lines")))).alias("avg_order_value"),
+        mean_cents(F.sum(of_grain(F.col("net"))), F.sum(of_grain(F.col("lines")))).alias("avg_order_value"),
     )
 
 
 def store_day_revenue(orders: DataFrame) -> DataFrame:
     """Revenue, orders and average rating per store and day."""
     return orders.groupBy("store_id", F.date_trunc("day", "order_date").cast("timestamp_ntz").alias("order_date")).agg(
-        F.sum("order_amount").cast("double").alias("total_revenue"),
+        amount(sum_cents("order_amount")).alias("total_revenue"),
         F.count("order_id").alias("total_orders"),
         F.avg("customer_rating").alias("avg_rating"),
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.functions.money import ratio, rounded_ratio
+from tidemark.functions.money import amount, cents, mean_cents, ratio, rounded_ratio, sum_cents
 
 _CALENDAR_COLUMNS = ["year", "quarter", "month", "month_name", "week_of_year", "day_name", "is_weekend",
                      "is_weekday", "is_us_holiday", "holiday_name"]
@@ -32,12 +32,10 @@ def daily_report(orders: DataFrame, first_day: str, run_date: str) -> DataFrame:
     in_range = orders.filter(
         (F.col("order_date") >= F.to_timestamp_ntz(F.lit(first_day)))
         & (F.col("order_date") < F.to_timestamp_ntz(F.lit(run_date))))
-    net = F.col("order_amount") - F.col("discount_amount")
     per_customer = in_range.groupBy("order_date", "store_id", "store_name", "customer_id").agg(
         F.count("order_id").alias("n"),
-        F.sum("order_amount").alias("gross"),
-        F.sum("discount_amount").alias("discounts"),
-        F.sum(net).alias("net"),
+        sum_cents("order_amount").alias("gross"),
+        sum_cents("discount_amount").alias("discounts"),
         F.min("order_amount").alias("low"),
         F.max("order_amount").alias("high"),
     )
@@ -45,12 +43,12 @@ def daily_report(orders: DataFrame, first_day: str, run_date: str) -> DataFrame:
     return per_customer.groupBy("order_date", "store_id", "store_name").agg(
         F.sum("n").alias("total_orders"),
         F.count("customer_id").alias("unique_customers"),
-        F.sum("gross").cast("double").alias("gross_revenue"),
-        F.sum("discounts").cast("double").alias("total_discounts"),
-        F.sum("net").cast("double").alias("net_revenue"),
-        ratio(F.sum("gross"), F.sum("n")).alias("avg_order_value"),
-        F.min("low").cast("double").alias("min_order_value"),
-        F.max("high").cast("double").alias("max_order_value"),
+        amount(F.sum("gross")).alias("gross_revenue"),
+        amount(F.sum("discounts")).alias("total_discounts"),
+        amount(F.sum("gross") - F.sum("discounts")).alias("net_revenue"),
+        ratio(amount(F.sum("gross")), F.sum("n")).alias("avg_order_value"),
+        F.min("low").alias("min_order_value"),
+        F.max("high").alias("max_order_value"),
     )
 
 
@@ -60,7 +58,7 @@ def daily_report_totals(report: DataFrame) -> DataFrame:
         F.count("store_id").alias("stores_with_orders"),
         F.sum("total_orders").alias("total_orders"),
         F.sum("unique_customers").alias("sum_unique_customers"),
-        F.sum(F.col("net_revenue").cast("decimal(18,2)")).cast("double").alias("total_net_revenue"),
+        amount(sum_cents("net_revenue")).alias("total_net_revenue"),
         rounded_ratio(F.sum(F.col("avg_order_value").cast("decimal(18,6)")), F.count("avg_order_value"))
         .alias("avg_of_avg_order_value"),
     )
@@ -70,32 +68,33 @@ def completed_revenue(orders: DataFrame, status: str) -> DataFrame:
     """Daily revenue per store of the orders in one status."""
     per_customer = orders.filter(F.col("status") == status).groupBy(
         "order_date", "store_name", "customer_id").agg(
-        F.count("*").alias("n"), F.sum("order_amount").alias("gross"), F.sum("discount_amount").alias("discounts"))
+        F.count("*").alias("n"), sum_cents("order_amount").alias("gross"),
+        sum_cents("discount_amount").alias("discounts"))
     return per_customer.groupBy("order_date", "store_name").agg(
         F.sum("n").alias("total_orders"),
         F.count("customer_id").alias("unique_customers"),
-        F.sum("gross").cast("double").alias("gross_revenue"),
-        F.sum("discounts").cast("double").alias("total_discounts"),
-        F.sum(F.col("gross") - F.col("discounts")).cast("double").alias("net_revenue"),
-        rounded_ratio(F.sum("gross"), F.sum("n")).alias("avg_order_value"),
+        amount(F.sum("gross")).alias("gross_revenue"),
+        amount(F.sum("discounts")).alias("total_discounts"),
+        amount(F.sum("gross") - F.sum("discounts")).alias("net_revenue"),
+        mean_cents(F.sum("gross"), F.sum("n")).alias("avg_order_value"),
     )
 
 
 def completed_totals(revenue: DataFrame) -> DataFrame:
     """One row over the whole revenue table (sum of distinct counts, average of averages)."""
-    amount = F.col("avg_order_value").cast("decimal(18,2)")
+    average = cents("avg_order_value")
     return revenue.agg(
         F.sum("total_orders").alias("total_completed_orders"),
         F.sum("unique_customers").alias("sum_unique_customers"),
-        F.sum(F.col("net_revenue").cast("decimal(18,2)")).cast("double").alias("total_net_revenue"),
-        rounded_ratio(F.sum(amount), F.count(amount)).alias("avg_of_avg_order_value"),
+        amount(sum_cents("net_revenue")).alias("total_net_revenue"),
+        mean_cents(F.sum(average), F.count(average)).alias("avg_of_avg_order_value"),
     )
 
 
 def status_summary(orders: DataFrame) -> DataFrame:
     """Orders and value per status."""
     return orders.groupBy("status").agg(
-        F.count("*").alias("order_count"), F.sum("order_amount").cast("double").alias("total_value"))
+        F.count("*").alias("order_count"), amount(sum_cents("order_amount")).alias("total_value"))
 
 
 def with_share(summary: DataFrame, count: str, name: str = "pct_of_total", digits: int = 1) -> DataFrame:
@@ -116,13 +115,13 @@ def region_month(fact: DataFrame) -> DataFrame:
     """Orders, customers and revenue per region, month name and quarter, with first and last date."""
     grain = ("store_region", "order_month_name", "order_quarter")
     per_customer = fact.groupBy(*grain, "customer_id").agg(
-        F.count("order_id").alias("n"), F.sum("order_amount").alias("revenue"),
+        F.count("order_id").alias("n"), sum_cents("order_amount").alias("revenue"),
         F.min("order_date").alias("first_date"), F.max("order_date").alias("last_date"))
     return per_customer.groupBy(*grain).agg(
         F.sum("n").alias("total_orders"),
         F.count("customer_id").alias("unique_customers"),
-        F.sum("revenue").cast("double").alias("total_revenue"),
-        ratio(F.sum("revenue"), F.sum("n")).alias("avg_order_value"),
+        amount(F.sum("revenue")).alias("total_revenue"),
+        ratio(amount(F.sum("revenue")), F.sum("n")).alias("avg_order_value"),
         F.min("first_date").alias("first_order_date"),
         F.max("last_date").alias("last_order_date"),
     )
@@ -131,23 +130,23 @@ def region_month(fact: DataFrame) -> DataFrame:
 def customer_lifetime_value(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Orders and lifetime value per customer; facts are reduced before the join."""
     per_customer = orders.groupBy("customer_id").agg(
-        F.count("order_id").alias("total_orders"), F.sum("order_amount").cast("double").alias("lifetime_value"))
+        F.count("order_id").alias("total_orders"), amount(sum_cents("order_amount")).alias("lifetime_value"))
     return per_customer.join(customers.select("customer_id", "customer_name"), "customer_id")
 
 
 def weekly_region_revenue(orders: DataFrame, stores: DataFrame) -> DataFrame:
     """Revenue per ISO week and region; reduced to stores before the join."""
     per_store = orders.groupBy(F.date_trunc("week", "order_date").cast("timestamp_ntz").alias("week"),
-                               "store_id").agg(F.sum("order_amount").alias("revenue"), F.count("*").alias("n"))
+                               "store_id").agg(sum_cents("order_amount").alias("revenue"), F.count("*").alias("n"))
     return per_store.join(stores, "store_id").groupBy("week", "store_region").agg(
-        F.sum("revenue").cast("double").alias("total_revenue"), F.sum("n").alias("total_orders"))
+        amount(F.sum("revenue")).alias("total_revenue"), F.sum("n").alias("total_orders"))
 
 
 def category_rank(sales: DataFrame, top: int | None = None) -> DataFrame:
     """Rank of each category within its store by revenue (then by name), over aggregated rows."""
-    per_category = sales.groupBy("store_name", "category").agg(F.sum("order_amount").alias("revenue"))
+    per_category = sales.groupBy("store_name", "category").agg(sum_cents("order_amount").alias("revenue"))
     best = Window.partitionBy("store_name").orderBy(F.col("revenue").desc(), "category")
     ranked = per_category.withColumn("category_rank", F.rank().over(best))
     if top is not None:
         ranked = ranked.filter(F.col("category_rank") <= top)
-    return ranked.withColumn("revenue", F.col("revenue").cast("double"))
+    return ranked.withColumn("revenue", amount("revenue"))

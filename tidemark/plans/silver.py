@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.money import money, rate
+from tidemark.functions.money import amount, basis_points, cents, share_of
 from tidemark.operators.dedup import latest_per_key
 
 def standardize(df: DataFrame, trim: Sequence[str] = (), upper: Sequence[str] = ()) -> DataFrame:
@@ -35,7 +35,7 @@ def valid_lines(raw_lines: DataFrame) -> DataFrame:
 
 
 def sales_facts(raw_lines: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
-    """Narrow fact rows: keys, order date, quantity, price and total amount.
+    """Narrow fact rows: keys, order date, quantity, price and total amount in cents.
 
     Dimension attributes are left out on purpose. The gold tables aggregate on
     the keys first and join the attributes to the much smaller result.
@@ -46,7 +46,7 @@ def sales_facts(raw_lines: DataFrame, orders: DataFrame, products: DataFrame) ->
         .join(products.select("product_id", "price"), "product_id")
         .select(
             "order_id", "line_number", "order_date", "customer_id", "product_id", "quantity", "price",
-            F.round(F.col("quantity") * F.col("price"), 2).cast("decimal(18,2)").alias("total_amount"),
+            (F.col("quantity") * cents("price")).alias("total_cents"),
         )
     )
 
@@ -58,15 +58,15 @@ def silver_lines(facts: DataFrame, customers: DataFrame, products: DataFrame) ->
         .join(products.drop("price"), "product_id")
         .select(
             "order_id", "line_number", "order_date", "customer_id", "customer_name", "city", "tier",
-            "product_id", "product_name", "category", "quantity", "price", "total_amount",
+            "product_id", "product_name", "category", "quantity", "price",
+            amount("total_cents").alias("total_amount"),
         )
     )
 
 
 def priced_lines(raw_lines: DataFrame, orders: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
-    """Order lines with gross and net revenue, order day, region and category."""
-    gross = money("list_amount")
-    net = F.round(gross * (1 - rate("discount_pct")), 2)
+    """Order lines with gross and net revenue in cents, order day, region and category."""
+    gross, points = cents("list_amount"), basis_points("discount_pct")
     return (
         raw_lines.filter("list_amount > 0 AND quantity > 0")
         .join(
@@ -76,10 +76,11 @@ def priced_lines(raw_lines: DataFrame, orders: DataFrame, customers: DataFrame,
         .join(customers.select("customer_id", "region"), "customer_id")
         .join(products.select("product_id", "category"), "product_id")
         .select(
-            "order_id", "customer_id", "region", "category", "channel", "quantity", rate("discount_pct").alias("discount_pct"),
+            "order_id", "customer_id", "region", "category", "channel", "quantity",
+            points.alias("discount_points"),
             F.date_trunc("day", "order_date").cast("timestamp_ntz").alias("order_date"),
             F.upper("status").alias("status"),
-            gross.alias("gross_revenue"),
-            net.cast("decimal(18,2)").alias("net_revenue"),
+            gross.alias("gross_cents"),
+            share_of(gross, 10_000 - points).alias("net_cents"),
         )
     )

@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.money import money
 
 SCHEMAS = {
     "region": "r_regionkey INT, r_name STRING",
@@ -67,7 +66,7 @@ class Tables:
             F.col("p_partkey").alias("product_id"),
             F.col("p_name").alias("product_name"),
             F.col("p_type").alias("category"),
-            money("p_retailprice").alias("price"),
+            F.col("p_retailprice").alias("price"),
         )
 
     def order_headers(self) -> DataFrame:
@@ -76,7 +75,7 @@ class Tables:
             F.col("o_custkey").alias("customer_id"),
             F.col("o_orderstatus").alias("status"),
             F.col("o_orderdate").alias("order_date"),
-            money("o_totalprice").alias("order_amount"),
+            F.col("o_totalprice").alias("order_amount"),
             F.col("o_orderpriority").alias("priority"),
             F.substring("o_orderpriority", 1, 1).cast("int").alias("customer_rating"),
         )

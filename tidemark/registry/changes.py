@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.money import amount, cents, share_of
 from tidemark.operators import changes, deltalog, history, snapshots
 from tidemark.plans.tables import Tables
 from tidemark.registry.core import query
@@ -38,7 +39,7 @@ def target_orders(t: Tables) -> DataFrame:
 
 
 def order_batch(t: Tables) -> DataFrame:
-    repriced = F.round(F.col("order_amount") * F.lit("1.05").cast("decimal(4,2)"), 2).cast("decimal(18,2)")
+    repriced = amount(share_of(cents("order_amount"), F.lit(10_500)))
     return (
         order_table(t).filter("order_date >= TIMESTAMP_NTZ '2000-07-01'")
         .withColumns({"old_status": F.col("status"), "status": F.lit("F"), "order_amount": repriced})
@@ -49,13 +50,9 @@ def by_date() -> list:
     return [F.col("order_date").desc(), F.col("order_amount").desc()]
 
 
-def as_double(df: DataFrame) -> DataFrame:
-    return df.withColumn("order_amount", F.col("order_amount").cast("double"))
-
-
 @query("upsert_orders", "WITH" + ORDERS_SQL + f" SELECT {AS_ROW} FROM merged")
 def upsert_orders(t: Tables) -> DataFrame:
-    return as_double(changes.upsert(target_orders(t), order_batch(t), ["order_id"], by_date()))
+    return changes.upsert(target_orders(t), order_batch(t), ["order_id"], by_date())
 
 
 @query("upsert_columns", "WITH" + ORDERS_SQL + """
@@ -64,15 +61,15 @@ SELECT t.order_id, t.customer_id, coalesce(b.status, t.status) AS status, t.orde
 FROM target t LEFT JOIN batch b ON t.order_id = b.order_id UNION ALL
 SELECT """ + AS_ROW + " FROM batch WHERE order_id NOT IN (SELECT order_id FROM target)")
 def upsert_columns(t: Tables) -> DataFrame:
-    return as_double(changes.upsert_columns(target_orders(t), order_batch(t), ["order_id"], ["status"], by_date()))
+    return changes.upsert_columns(target_orders(t), order_batch(t), ["order_id"], ["status"], by_date())
 
 
 @query("cdc_apply", "WITH" + ORDERS_SQL + f"""
 SELECT {AS_ROW} FROM merged WHERE order_id NOT IN (SELECT order_id FROM batch WHERE old_status = 'P')""")
 def cdc_apply(t: Tables) -> DataFrame:
     batch = order_batch(t).withColumn("op", F.when(F.col("old_status") == "P", "DELETE").otherwise("UPDATE"))
-    return as_double(changes.upsert_with_delete(
-        target_orders(t), batch, ["order_id"], F.col("op") == "DELETE", by_date()))
+    return changes.upsert_with_delete(
+        target_orders(t), batch, ["order_id"], F.col("op") == "DELETE", by_date())
 
 
 @query("update_where", """
@@ -276,7 +273,7 @@ def as_of_version(t: Tables) -> DataFrame:
 
 @query("as_of_timestamp", "WITH" + VERSIONS_SQL + f" SELECT {AS_ROW} FROM merged")
 def as_of_timestamp(t: Tables) -> DataFrame:
-    return as_double(snapshots.read_as_of(t.spark, order_versions(t), timestamp=datetime(2024, 1, 2, 12)))
+    return snapshots.read_as_of(t.spark, order_versions(t), timestamp=datetime(2024, 1, 2, 12))
 
 
 @query("table_history", "WITH" + VERSIONS_SQL + """
@@ -298,14 +295,14 @@ feed AS (
 SELECT _change_type, """ + AS_ROW + """, CAST(v AS BIGINT) AS _commit_version,
        CASE v WHEN 1 THEN TIMESTAMP '2024-01-02' ELSE TIMESTAMP '2024-01-03' END AS _commit_timestamp FROM feed""")
 def change_feed(t: Tables) -> DataFrame:
-    return as_double(snapshots.table_changes(t.spark, order_versions(t), ["order_id"], 1, 2))
+    return snapshots.table_changes(t.spark, order_versions(t), ["order_id"], 1, 2)
 
 
 @query("changed_between_versions", "WITH" + VERSIONS_SQL + f"""
 SELECT {AS_ROW} FROM batch""")
 def changed_between_versions(t: Tables) -> DataFrame:
-    return as_double(snapshots.changed_rows(
-        target_orders(t), changes.upsert(target_orders(t), order_batch(t), ["order_id"], by_date()), ["order_id"]))
+    return snapshots.changed_rows(
+        target_orders(t), changes.upsert(target_orders(t), order_batch(t), ["order_id"], by_date()), ["order_id"])
 
 
 @query("added_column", "SELECT o_orderkey, o_totalprice, CAST(NULL AS DOUBLE) AS tip FROM orders")

@@ -73,9 +73,7 @@ SELECT order_id, line_number, order_date, f.customer_id, customer_name, city, ti
        p_name AS product_name, p_type AS category, quantity, price, total_cents / 100.0 AS total_amount
 FROM facts f JOIN customers c ON f.customer_id = c.customer_id JOIN part ON product_id = p_partkey""")
 def silver_lineitems(t: Tables) -> DataFrame:
-    lines = silver.silver_lines(sales_facts(t), t.customers(), t.products())
-    return lines.withColumns({"price": F.col("price").cast("double"),
-                              "total_amount": F.col("total_amount").cast("double")})
+    return silver.silver_lines(sales_facts(t), t.customers(), t.products())
 
 
 @query("daily_revenue", "WITH" + FACTS_SQL + """

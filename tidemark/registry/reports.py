@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import calendar_of
-from tidemark.functions.money import money, rate
+from tidemark.functions.money import amount, basis_points, cents, share_of
 from tidemark.plans import behaviour, reports
 from tidemark.plans.tables import Tables
 from tidemark.registry.core import half_up, query
@@ -87,10 +87,10 @@ def discounted_orders(t: Tables) -> DataFrame:
     """Placed orders with store attributes and the discount summed over their lines."""
     lines = t.raw_lines()
     discount = lines.groupBy("order_id").agg(
-        F.sum(F.round(money("list_amount") * rate("discount_pct"), 2).cast("decimal(18,2)")).alias("discount_amount"))
+        F.sum(share_of(cents("list_amount"), basis_points("discount_pct"))).alias("discount_cents"))
     return (
         placed_orders(t).join(discount, "order_id", "left")
-        .withColumn("discount_amount", F.coalesce("discount_amount", F.lit(0).cast("decimal(28,2)")))
+        .withColumn("discount_amount", amount(F.coalesce("discount_cents", F.lit(0))))
         .join(t.stores(), "store_id")
     )
 
@@ -106,13 +106,13 @@ def calendar_dim(t: Tables) -> DataFrame:
 
 @query("fact_orders", "WITH" + ORDERS_SQL + "," + CALENDAR_SQL + FACT_COLUMNS_SQL)
 def fact_orders(t: Tables) -> DataFrame:
-    return fact(t).withColumn("order_amount", F.col("order_amount").cast("double"))
+    return fact(t)
 
 
 @query("regional_slice", "WITH" + ORDERS_SQL + "," + CALENDAR_SQL + FACT_COLUMNS_SQL
        + " WHERE store_region = 'ASIA'")
 def regional_slice(t: Tables) -> DataFrame:
-    return reports.regional_slice(fact(t), "ASIA").withColumn("order_amount", F.col("order_amount").cast("double"))
+    return reports.regional_slice(fact(t), "ASIA")
 
 
 @query("region_month", "WITH" + ORDERS_SQL + "," + CALENDAR_SQL + """
@@ -185,7 +185,7 @@ SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderdate AS order_da
 FROM orders ORDER BY o_orderdate DESC, o_totalprice DESC, o_orderkey LIMIT 10""")
 def top_orders(t: Tables) -> DataFrame:
     newest = t.order_headers().orderBy(F.col("order_date").desc(), F.col("order_amount").desc(), "order_id").limit(10)
-    return newest.select("order_id", "customer_id", "order_date", F.col("order_amount").cast("double"))
+    return newest.select("order_id", "customer_id", "order_date", "order_amount")
 
 
 @query("orders_in_range", """

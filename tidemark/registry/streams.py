@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.money import amount, sum_cents
 from tidemark.operators import changes, deltalog, metadata, snapshots
 from tidemark.plans.tables import SCHEMAS, Tables
 from tidemark.registry.core import query
@@ -31,7 +32,7 @@ def land(df: DataFrame, path: str) -> None:
 
 
 def total_value():
-    return F.sum(F.col("value").cast("decimal(18,2)")).cast("double")
+    return amount(sum_cents("value"))
 
 
 def sink_of(t: Tables, stream: DataFrame, name: str, **kwargs) -> DataFrame:
