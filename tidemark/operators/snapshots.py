@@ -11,18 +11,20 @@ small changes.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.operators.dedup import duplicate_keys
 from tidemark.operators.keyed import key_match, without_keys
 from tidemark.session import path_exists
 
 HISTORY = ("version bigint, timestamp timestamp_ntz, operation string, batch_id string, "
-           "rows bigint, columns array<string>")
+           "rows bigint, schema_json string")
 
 
 class ConstraintViolation(ValueError):
@@ -30,7 +32,7 @@ class ConstraintViolation(ValueError):
 
 
 def history(spark: SparkSession, table: str) -> DataFrame:
-    """Version, time, operation, batch id, row count and columns of every commit."""
+    """Version, time, operation, batch id, row count and schema of every commit."""
     if not path_exists(spark, f"{table}/_history"):
         return spark.createDataFrame([], HISTORY)
     return spark.read.schema(HISTORY).parquet(f"{table}/_history")
@@ -63,7 +65,7 @@ def commit(df: DataFrame, table: str, operation: str, batch_id: str | None = Non
         if seen.get[f"bad_{i}"]:
             raise ConstraintViolation(f"{name}: {seen.get[f'bad_{i}']} rows")
     at = timestamp or datetime.now(timezone.utc).replace(tzinfo=None)
-    row = [(version, at, operation, batch_id, seen.get["rows"], df.columns)]
+    row = [(version, at, operation, batch_id, seen.get["rows"], df.schema.json())]
     spark.createDataFrame(row, HISTORY).coalesce(1).write.mode("append").parquet(f"{table}/_history")
     return version
 
@@ -76,10 +78,16 @@ def read_as_of(spark: SparkSession, table: str, version: int | None = None,
         commits = commits.filter(F.col("version") == version)
     if timestamp is not None:
         commits = commits.filter(F.col("timestamp") <= F.lit(timestamp).cast("timestamp_ntz"))
-    found = commits.agg(F.max("version")).first()[0]
+    found = commits.orderBy(F.col("version").desc()).first()
     if found is None:
         raise LookupError(f"{table} has no version {version if version is not None else timestamp or ''}")
-    return spark.read.parquet(f"{table}/v={found}")
+    return _read(spark, table, found)
+
+
+def _read(spark: SparkSession, table: str, commit_row) -> DataFrame:
+    """The rows of a commit under the schema it was written with, so no footer is read for it."""
+    schema = StructType.fromJson(json.loads(commit_row.schema_json))
+    return spark.read.schema(schema).parquet(f"{table}/v={commit_row.version}")
 
 
 def change_feed(before: DataFrame, after: DataFrame, keys: Sequence[str], version: int,
@@ -124,15 +132,16 @@ def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
 
 def table_changes(spark: SparkSession, table: str, keys: Sequence[str], start: int, end: int | None = None) -> DataFrame:
     """The change feed of the commits from ``start`` to ``end`` (inclusive)."""
-    commits = history(spark, table).filter(F.col("version") >= start)
+    commits = history(spark, table).filter(F.col("version") >= start - 1)
     if end is not None:
         commits = commits.filter(F.col("version") <= end)
-    feed = None
+    feed = before = None
     for row in commits.orderBy("version").collect():  # one row per commit
-        after = read_as_of(spark, table, row.version)
-        before = read_as_of(spark, table, row.version - 1) if row.version else after.limit(0)
-        one = change_feed(before, after, keys, row.version, row.timestamp)
-        feed = one if feed is None else feed.unionByName(one, allowMissingColumns=True)
+        after = _read(spark, table, row)
+        if row.version >= start:
+            one = change_feed(after.limit(0) if before is None else before, after, keys, row.version, row.timestamp)
+            feed = one if feed is None else feed.unionByName(one, allowMissingColumns=True)
+        before = after
     if feed is None:
         raise LookupError(f"{table} has no version {start}")
     return feed
