@@ -35,6 +35,17 @@ def test_fail_aborts_the_write(spark, path):
         quality.expect(frame(spark), {"x": ("true", "explode")})
 
 
+def test_a_dropped_row_still_trips_a_fail_rule(spark, path):
+    """Written sorted and in small row groups, so a pushed drop filter could skip the bad row."""
+    spark.range(100_000).selectExpr("id", "id - 50000 AS amount").coalesce(1).write.option(
+        "parquet.block.size", 4096).parquet(path + "/t")
+    rules = {"has_id": ("id <> 10", "fail"), "positive": ("amount > 0", "drop")}
+    with pytest.raises(Exception, match="has_id"):
+        quality.expect(spark.read.parquet(path + "/t"), rules).count()
+    fine = {**rules, "has_id": ("id >= 0", "fail")}
+    assert quality.expect(spark.read.parquet(path + "/t"), fine).count() == 49_999
+
+
 def test_observed_metrics_come_with_the_write(spark, rows, path):
     seen = Observation()
     quality.expect(frame(spark), RULES, seen).write.parquet(path + "/out")

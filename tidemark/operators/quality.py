@@ -7,6 +7,7 @@ fail. A predicate that is NULL counts as violated.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -40,14 +41,18 @@ def expect(df: DataFrame, rules: Rules, observation: Observation | None = None)
     if observation is not None:
         df = df.observe(observation, F.count(F.lit(1)).alias("rows"),
                         *[F.count_if(_passes(p)).alias(name) for name, (p, _) in rules.items()])
-    for name, (predicate, action) in rules.items():
-        if action == "fail":
-            df = df.filter(F.when(_passes(predicate), True).otherwise(
-                F.raise_error(F.lit(f"expectation {name} violated: {predicate}")).cast("boolean")))
-    kept = [_passes(p) for p, action in rules.values() if action == "drop"]
-    for condition in kept:
-        df = df.filter(condition)
-    return df
+    dropping = [_passes(p) for p, action in rules.values() if action == "drop"]
+    failing = [(name, p) for name, (p, action) in rules.items() if action == "fail"]
+    if not failing:
+        for condition in dropping:
+            df = df.filter(condition)
+        return df
+    # One expression, so that no drop rule can be pushed into the scan and hide a row from a fail rule.
+    verdict = reduce(lambda a, b: a & b, dropping, F.lit(True))
+    for name, predicate in reversed(failing):
+        error = F.raise_error(F.lit(f"expectation {name} violated: {predicate}")).cast("boolean")
+        verdict = F.when(_passes(predicate), verdict).otherwise(error)
+    return df.filter(verdict)
 
 
 def expectation_metrics(df: DataFrame, dataset: str, rules: Rules) -> DataFrame:

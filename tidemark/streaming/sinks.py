@@ -23,12 +23,17 @@ def _run(df: DataFrame, mode: str, checkpoint: str, handler, trigger: str | None
     return query
 
 
+def _batch_key(batch: DataFrame, batch_id: int) -> str:
+    """Batch ids start again with a new query, so the query id belongs to the key."""
+    return f"{batch.sparkSession.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id}"
+
+
 def complete_sink(df: DataFrame, table: str, checkpoint: str, trigger: str | None = "available_now",
                   name: str | None = None) -> StreamingQuery:
     """Complete mode into a versioned table: every batch is the whole result and becomes a version."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        snapshots.commit(batch, table, "COMPLETE", batch_id=str(batch_id))
+        snapshots.commit(batch, table, "COMPLETE", batch_id=_batch_key(batch, batch_id))
 
     return _run(df, "complete", checkpoint, write, trigger, name)
 
@@ -43,7 +48,7 @@ def update_sink(df: DataFrame, table: str, checkpoint: str, trigger: str | None
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumns({SEQUENCE: F.struct(F.lit(batch_id).cast("bigint").alias("batch")),
                                   DELETED: F.lit(False)})
-        deltalog.append_log(rows, table, batch_id)
+        deltalog.append_log(rows, table, _batch_key(batch, batch_id))
 
     return _run(df, "update", checkpoint, write, trigger, name)
 
@@ -58,6 +63,6 @@ def cdc_sink(changes: DataFrame, table: str, checkpoint: str, sequence_by: Seque
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        deltalog.append_log(change_events(batch, sequence_by, delete_when, drop), table, batch_id)
+        deltalog.append_log(change_events(batch, sequence_by, delete_when, drop), table, _batch_key(batch, batch_id))
 
     return _run(changes, "append", checkpoint, write, trigger, name)
