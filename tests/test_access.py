@@ -97,6 +97,29 @@ def test_rounded_ratio_is_half_up_and_null_on_zero(spark):
     assert tuple(row) == (1.34, None, 33.33, None)
 
 
+def test_rounded_ratio_rounds_once(spark):
+    """A quotient just below a half must not be lifted over it by an earlier rounding."""
+    below = money.rounded_ratio(F.lit(1072208), F.lit(27178911), 2, 100)
+    exact_half = money.rounded_ratio(F.lit(1), F.lit(800), 2, 100)
+    negative = money.rounded_ratio(F.lit(-1), F.lit(800), 2, 100)
+    assert spark.range(1).select(below, exact_half, negative).first() == (3.94, 0.13, -0.13)
+
+
+def test_rounded_ratio_equals_exact_fractions(spark):
+    import random
+    from decimal import Decimal
+    from fractions import Fraction
+
+    random.seed(11)
+    pairs = [(random.randint(0, 10**10), random.choice([1, 3, 7, 8, 40, 800, random.randint(1, 10**10)]))
+             for _ in range(3000)]
+    df = spark.createDataFrame(pairs, "n bigint, d bigint").select(
+        "n", "d", money.rounded_ratio(F.col("n"), F.col("d"), 2, 100).alias("r"))
+    for r in df.collect():
+        hundredths = Fraction(r.n * 10_000, r.d)
+        assert r.r == float(Decimal(int(hundredths + Fraction(1, 2))) / 100)
+
+
 def test_cents_are_exact_and_shares_round_half_away_from_zero(spark, rows):
     df = spark.createDataFrame([(i / 100,) for i in range(-20_000, 20_000, 7)], "v double")
     wrong = df.filter(money.cents("v") != F.round(F.col("v").cast("decimal(18,2)") * 100).cast("bigint"))

@@ -47,13 +47,21 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
 
+def _millionths(value: Column) -> Column:
+    return (value.cast("decimal(28,6)") * 1_000_000).cast("decimal(38,0)")
+
+
 def rounded_ratio(numerator: Column, denominator: Column, digits: int = 2, scale: int = 1) -> Column:
-    """``scale * numerator / denominator`` rounded half up on decimals, as double.
+    """``scale * numerator / denominator`` rounded half away from zero, as double.
 
-    NULL when the denominator is zero. Meant for aggregated rows.
+    The rounding is exact: it is one integer division. (Dividing decimals first
+    would round twice, as Spark keeps only six digits of a wide quotient.)
+    NULL when the denominator is zero. Operands may have six decimals.
     """
-    quotient = F.try_divide(numerator.cast("decimal(28,6)"), denominator.cast("decimal(28,6)"))
-    return F.round(quotient * scale, digits).cast("double")
+    n, d = _millionths(numerator), _millionths(denominator)
+    doubled = F.abs(n) * (2 * scale * 10 ** digits) + F.abs(d)
+    whole = F.call_function("div", doubled.cast("decimal(38,0)"), F.nullif(F.abs(d) * 2, F.lit(0)))
+    return F.when((n < 0) == (d < 0), whole).otherwise(-whole) / float(10 ** digits)
 
 
 def mean_cents(cent_sum: Column, n: Column) -> Column:
