@@ -96,3 +96,25 @@ class TwoGenerations:
                 self.old, self.young = self.young, {}
             self.young[key] = value
         return value
+
+
+def cut(frame: DataFrame) -> DataFrame:
+    """The rows written to the shared checkpoint folder and read back: later work never repeats what led to them."""
+    context = frame.sparkSession.sparkContext
+    if context.getConf().get("spark.checkpoint.dir") is None and context.getCheckpointDir() is None:
+        context.setCheckpointDir(frame.sparkSession.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
+    return frame.checkpoint()
+
+
+def splittable(right: DataFrame, key: str) -> DataFrame:
+    """The aggregated side of a join on ``key`` whose other side may be skewed; use with ``splittable_on``.
+
+    An aggregate by ``key`` is already partitioned by it, so Spark would join it without an exchange of its own, and
+    adaptive execution can only split a hot partition between two exchanges. Joining on a hash of the key as well makes
+    both sides exchange.
+    """
+    return right.withColumnRenamed(key, "_right_key").withColumn("_right_hash", F.xxhash64("_right_key"))
+
+
+def splittable_on(left: DataFrame, key: str) -> Column:
+    return (F.xxhash64(left[key]) == F.col("_right_hash")) & (left[key] == F.col("_right_key"))

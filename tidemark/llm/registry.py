@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, quality_rules
+from tidemark.llm import bpe, quality_rules, simhash
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_bpe": bpe.op2_bpe,
+    "op10_simhash": simhash.op10_simhash,
 }
 
 SQL = {
