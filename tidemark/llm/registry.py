@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, quality_rules, simhash
+from tidemark.llm import bpe, langid, quality_rules, simhash
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_bpe": bpe.op2_bpe,
+    "op5_langid": langid.op5_langid,
     "op10_simhash": simhash.op10_simhash,
 }
 
