@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, langid, quality_rules, simhash
+from tidemark.llm import bpe, decontaminate, langid, mil_quality, quality_rules, simhash, toxicity
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_bpe": bpe.op2_bpe,
+    "op3_toxicity": toxicity.op3_toxicity,
+    "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_langid": langid.op5_langid,
+    "op7_mil_quality": mil_quality.op7_mil_quality,
     "op10_simhash": simhash.op10_simhash,
 }
 
