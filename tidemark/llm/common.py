@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -98,12 +100,36 @@ class TwoGenerations:
         return value
 
 
+_folders: set[str] = set()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that driver and executors share: that of spark.checkpoint.dir, else one below the warehouse."""
+    context = spark.sparkContext
+    base = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    return (base or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work").rstrip("/")
+
+
 def cut(frame: DataFrame) -> DataFrame:
-    """The rows written to the shared checkpoint folder and read back: later work never repeats what led to them."""
-    context = frame.sparkSession.sparkContext
-    if context.getConf().get("spark.checkpoint.dir") is None and context.getCheckpointDir() is None:
-        context.setCheckpointDir(frame.sparkSession.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
-    return frame.checkpoint()
+    """The rows written to the shared folder and read back: later work, retries included, never repeats what led to
+    them. The files are deleted when the session's program ends."""
+    spark = frame.sparkSession
+    path = f"{shared_folder(spark)}/rows-{uuid.uuid4().hex}"
+    if not _folders:
+        atexit.register(_delete_folders, spark)
+    _folders.add(path)
+    frame.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
+def _delete_folders(spark: SparkSession) -> None:
+    jvm = spark.sparkContext._jvm
+    if jvm is None or spark.sparkContext._jsc is None:
+        return
+    for name in list(_folders):
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _folders.discard(name)
 
 
 def splittable(right: DataFrame, key: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, decontaminate, langid, mil_quality, quality_rules, simhash, toxicity
+from tidemark.llm import bpe, decontaminate, langid, mil_quality, quality_rules, simhash, substring_dedup, toxicity
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -10,10 +10,12 @@ QUERIES = {
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_langid": langid.op5_langid,
+    "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op7_mil_quality": mil_quality.op7_mil_quality,
     "op10_simhash": simhash.op10_simhash,
 }
 
 SQL = {
     "op1_quality_rules": quality_rules.OP1_SQL,
+    "op6_substring_dedup": substring_dedup.OP6_SQL,
 }
