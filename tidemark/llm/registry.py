@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, decontaminate, langid, mil_quality, quality_rules, simhash, substring_dedup, toxicity
+from tidemark.llm import bpe, decontaminate, kd_shards, langid, mil_quality, quality_rules, simhash, substring_dedup, toxicity
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_langid": langid.op5_langid,
     "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op7_mil_quality": mil_quality.op7_mil_quality,
+    "op8_kd_shards": kd_shards.op8_kd_shards,
     "op10_simhash": simhash.op10_simhash,
 }
 
