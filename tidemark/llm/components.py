@@ -31,7 +31,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
 def component_of(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """``edges`` has long columns u and v (any order, loops allowed). Returns node, component (smallest node id) for
-    every node that has an edge to another node; nodes without one are their own component and are left out."""
+    every node with a smaller one in its component; nodes left out are the smallest of their own."""
     edges = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v").distinct()
     edges, state = cut(edges), None
     for _ in range(most_rounds):
