@@ -83,6 +83,37 @@ class PairTrees:
             self.flat[base + at] = np.minimum(self.flat[child], self.flat[child + 1])
 
 
+class PairTree:
+    """The same tree for one long word: a round on arrays would cost more than these few steps."""
+
+    def __init__(self, ranks: list[int]):
+        self.size = 1 << max(0, (len(ranks) - 1).bit_length())
+        self.node = [NO_MERGE] * self.size + ranks + [NO_MERGE] * (self.size - len(ranks))
+        for i in range(self.size - 1, 0, -1):
+            self.node[i] = min(self.node[2 * i], self.node[2 * i + 1])
+
+    def leftmost(self) -> int:
+        """The leaf of the root's rank, or -1 if no pair can be merged."""
+        node, rank, i = self.node, self.node[1], 1
+        while i < self.size:
+            i = 2 * i + (node[2 * i] != rank)
+        return i - self.size if rank < NO_MERGE else -1
+
+    def set(self, leaf: int, rank: int) -> None:
+        node, i = self.node, self.size + leaf
+        node[i] = rank
+        while i > 1:
+            i >>= 1
+            best = min(node[2 * i], node[2 * i + 1])
+            if node[i] == best:
+                return
+            node[i] = best
+
+
+#: Words of more bytes than this get a tree of their own.
+LONG_WORD = 1024
+
+
 class Bpe:
     """A tokenizer read from a vocabulary file; ``encode`` and ``decode`` work on one text."""
 
@@ -108,6 +139,7 @@ class Bpe:
         self.cut = regex.compile("|".join(map(regex.escape, marks)) or "(?!)")
         self.marks = [m.encode() for m in marks]
         self.mark_ids = {m.encode(): (struct.pack("<I", i), m) for m, i in self.special.items()}
+        self.by_pair: dict[int, int] | None = None
         self.most = most_cached
         self.chunks: dict[bytes, tuple[bytes, str]] = {}
         self.older: dict[bytes, tuple[bytes, str]] = {}
@@ -155,6 +187,30 @@ class Bpe:
             trees.set(left, prev[has], self._rank_of(ids[left, prev[has]], ids[left, at[has]]))
         return ids[real], np.cumsum(real.sum(axis=1))
 
+    def _merge_long(self, data: bytes) -> list[int]:
+        """Ids of one long piece."""
+        symbols = np.frombuffer(data, np.uint8)
+        first = self.inner[symbols]
+        first[-1] = self.last[symbols[-1]]
+        ids, n = first.tolist(), len(data)
+        tree = PairTree(self._rank_of(first[:-1], first[1:]).tolist())
+        if self.by_pair is None:
+            self.by_pair = dict(zip(self.keys.tolist(), self.ranks.tolist()))
+        after, before = list(range(1, n + 1)), list(range(-1, n))
+        rank = lambda a, b: self.by_pair.get(ids[a] << 32 | ids[b], NO_MERGE)
+        while (at := tree.leftmost()) >= 0:
+            gone = after[at]
+            ids[at] = int(self.result[tree.node[tree.size + at]])
+            ids[gone] = -1
+            nxt = after[at] = after[gone]
+            before[nxt] = at
+            if gone < n - 1:
+                tree.set(gone, NO_MERGE)
+            tree.set(at, rank(at, nxt) if nxt < n else NO_MERGE)
+            if (prev := before[at]) >= 0:
+                tree.set(prev, rank(prev, at))
+        return [i for i in ids if i >= 0]
+
     def encode_pieces(self, pieces: list[str]) -> dict[str, list[int]]:
         """Ids of distinct pieces, grouped by the size of their tree."""
         out, groups = {}, {}
@@ -162,6 +218,8 @@ class Bpe:
             data = piece.encode("utf-8")
             if len(data) == 1:
                 out[piece] = [int(self.last[data[0]])]
+            elif len(data) > LONG_WORD:
+                out[piece] = self._merge_long(data)
             else:
                 groups.setdefault(1 << max(0, (len(data) - 2).bit_length()), []).append((piece, data))
         for size, group in groups.items():
@@ -264,20 +322,27 @@ def encode(
     return map_texts(docs, block, "ids array<int>, decoded string", keep)
 
 
-def encode_digests(docs: DataFrame, path: str | None = None, keep: dict[str, Column] | None = None) -> DataFrame:
-    """``encode`` with the digests of ids and decoded text in their place: n_tokens, ids_sha256, decoded_sha256."""
+def encode_digests(
+    docs: DataFrame, path: str | None = None, keep: dict[str, Column] | None = None, with_ids: bool = False,
+) -> DataFrame:
+    """The ``keep`` columns (default doc_id) with n_tokens and the digests ids_sha256 and decoded_sha256; ``with_ids``
+    adds the array of ids."""
     path = path or default_path()
 
     def block(texts: list) -> dict:
         bpe = tokenizer(path)
-        n, ids_hash, text_hash = [], [], []
-        for ids, decoded in bpe.encode_block([t or b"" for t in texts]):
-            n.append(len(ids) // 4)
-            ids_hash.append(hashlib.sha256(ids).hexdigest())
-            text_hash.append(hashlib.sha256(decoded.encode("utf-8")).hexdigest())
-        return {"n_tokens": n, "ids_sha256": ids_hash, "decoded_sha256": text_hash}
-
-    return map_texts(docs, block, "n_tokens long, ids_sha256 string, decoded_sha256 string", keep)
+        out: dict = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
+        found = bpe.encode_block([t or b"" for t in texts])
+        for ids, decoded in found:
+            out["n_tokens"].append(len(ids) // 4)
+            out["ids_sha256"].append(hashlib.sha256(ids).hexdigest())
+            out["decoded_sha256"].append(hashlib.sha256(decoded.encode("utf-8")).hexdigest())
+        if with_ids:
+            out["ids"] = [np.frombuffer(ids, "<i4") for ids, _ in found]
+        return out
+
+    columns = "n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
+    return map_texts(docs, block, columns, keep)
 
 
 def decode(encoded: DataFrame, path: str | None = None, ids: str = "ids") -> DataFrame:

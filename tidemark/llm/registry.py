@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, decontaminate, kd_shards, langid, mil_quality, quality_rules, simhash, substring_dedup, toxicity
+from tidemark.llm import bpe, decontaminate, kd_shards, langid, mil_quality, mincut_html, quality_rules, simhash, substring_dedup, toxicity
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op7_mil_quality": mil_quality.op7_mil_quality,
     "op8_kd_shards": kd_shards.op8_kd_shards,
+    "op9_mincut_html": mincut_html.op9_mincut_html,
     "op10_simhash": simhash.op10_simhash,
 }
 
