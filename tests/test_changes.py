@@ -213,8 +213,13 @@ def test_precombine_and_merge_on_read(spark, rows, path):
     assert rows(changes.live_rows(snapshot)) == merged
     erased = spark.createDataFrame([("a",)], "k string")
     assert rows(changes.live_rows(deltalog.erased_read(snapshot, erased, ["k"]))) == merged[1:]
-    deltalog.write_base(snapshot, path, 1)
-    assert rows(changes.live_rows(deltalog.read_base(spark, path, 1, state.schema))) == merged
+    assert deltalog.compact(spark, path, 0, state.schema, ["k"], erased) == 1
+    assert rows(changes.live_rows(deltalog.read_base(spark, path, 1, state.schema))) == merged[1:]
+    assert deltalog.read_log(spark, path, state.schema).count() == 0
+    deltalog.append_log(deltalog.keyed_rows(frame(spark, [("d", 4, 4)]), ["ts"]), path, 1)
+    assert rows(changes.live_rows(deltalog.read_log(spark, path, state.schema))) == [("d", 4, 4)]
+    kept = spark.read.option("recursiveFileLookup", True).schema(state.schema).parquet(path + "/base", path + "/log")
+    assert kept.filter("k = 'a'").count() == 0
 
 
 def test_pull_between_is_half_open(spark, rows):

@@ -65,6 +65,20 @@ def test_rewrite_partitions_leaves_the_others_alone(spark, rows, path):
     assert before == after
 
 
+def test_rewrite_partitions_reaches_the_null_partition_and_keeps_the_type(spark, rows, path):
+    df = spark.sql("SELECT id, CASE id WHEN 1 THEN date'2024-01-01' WHEN 2 THEN date'2024-01-02' END AS d FROM range(1, 5)")
+    df.write.partitionBy("d").parquet(path + "/t")
+    for gone, left in (("id IN (1, 3)", [2, 4]), ("id = 4", [2])):
+        touched = spark.read.parquet(path + "/t").filter(gone).select("d")
+        layout.rewrite_partitions(spark, path + "/t", "d", touched, lambda r: r.filter(f"NOT ({gone})"))  # noqa: B023
+        table = spark.read.parquet(path + "/t")
+        assert [r[0] for r in rows(table, "id")] == left and table.schema["d"].dataType.typeName() == "date"
+
+
+def test_curve_bits_follow_the_files():
+    assert [layout.curve_bits(f, 2) for f in (1, 16, 32, 4096, 1 << 20)] == [1, 3, 4, 7, 11]
+
+
 def test_storage_by_table(spark, rows, path):
     spark.range(10).write.parquet(path + "/a.parquet")
     spark.range(1000).coalesce(1).write.parquet(path + "/b.parquet")

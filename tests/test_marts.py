@@ -41,7 +41,7 @@ def bronze_batch(spark):
 
 def silver_of(shop, raw, orders):
     products, customers = shop
-    return silver.silver_lines(silver.sales_facts(raw, orders, products), customers, products)
+    return silver.silver_lines(raw, orders, customers, products)
 
 
 def test_55_bronze_rows_become_50_silver_rows(spark, shop, rows):
@@ -108,12 +108,30 @@ def test_gold_tables(spark, shop, rows):
 def test_discount_impact_guards_zero_and_rolls_up(spark, shop, rows):
     products, customers = shop
     raw = spark.createDataFrame([line(1, amount=100.0, discount=0.1), line(3, amount=50.0), line(5, amount=-1.0)], RAW)
-    priced = silver.priced_lines(raw, headers(spark, [1, 3, 5]), customers, products)
-    sales = gold.customer_day_sales(priced, ["F"])
+    priced = silver.priced_lines(raw, headers(spark, [1, 3, 5]), products, ["F"])
+    sales = gold.customer_day_sales(priced, customers)
     impact = rows(gold.discount_impact(sales), "order_date", "gross_revenue", "net_revenue", "discount_impact_pct")
     assert impact == [(START, 50.0, 50.0, 0.0), (START + timedelta(days=1), 100.0, 90.0, 10.0)]
     assert rows(gold.region_rollup(sales)) == [("South", 150.0, 140.0, 2, 2, 70.0, 1, 70.0)]
-    assert rows(gold.customer_day_sales(priced, ["X"])) == []
+    none = silver.priced_lines(raw, headers(spark, [1, 3, 5]), products, ["X"])
+    assert rows(gold.customer_day_sales(none, customers)) == []
+
+
+def test_the_fact_is_shuffled_four_times_and_products_are_read_once(spark, plan):
+    import os
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        pytest.skip("no test tables")
+    from tidemark.plans.tables import Tables
+    from tidemark.registry import marts
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(marts.silver_lineitems(Tables(spark, "/root/testdata/sf0.001")))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("part.parquet") == 1
+    fact = [line for line in text.splitlines() if "Exchange hashpartitioning(" in line and any(
+        k in line for k in ("order_id#", "l_orderkey#", "product_id#", "customer_id#"))]
+    assert len(fact) <= 4 + 3  # four of the fact, and one of each table that joins it
 
 
 def test_regional_slices_partition_the_fact_table(spark):

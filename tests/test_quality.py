@@ -75,7 +75,7 @@ def test_labelled_issue(spark, rows):
 def test_reconciliation(spark, rows):
     silver = quality.expect(frame(spark), RULES)
     assert rows(quality.layer_counts({"bronze": frame(spark), "silver": silver})) == [("bronze", 5), ("silver", 2)]
-    assert rows(quality.rows_dropped(frame(spark), silver)) == [(5, 2, 3, 60.0)]
+    assert rows(quality.rows_dropped(frame(spark), RULES)) == [(5, 2, 3, 60.0)]
     dirty = frame(spark).filter("id IN (2, 4)")
     assert rows(quality.absence_check(silver, "id", dirty)) == [(2, "FILTERED (correct)"), (4, "PRESENT (bug!)")]
 

@@ -3,7 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import snapshots
+from tidemark.operators import changes, snapshots
 
 SCHEMA = "k int, v string"
 T0, T1 = datetime(2024, 1, 1), datetime(2024, 1, 2)
@@ -70,6 +70,33 @@ def test_change_feed_and_replay(spark, rows):
     assert snapshots.change_feed(after, after, ["k"], 1, T0).count() == 0
 
 
+def test_a_repeated_key_is_refused(spark):
+    twice = spark.createDataFrame([("a", 1), ("a", 2)], "k string, v int")
+    once = twice.limit(1)
+    for before, after in ((twice, once), (once, twice)):
+        with pytest.raises(ValueError, match="duplicate key"):
+            snapshots.change_feed(before, after, ["k"], 1, T0)
+    with pytest.raises(ValueError, match="duplicate key"):
+        snapshots.upsert_feed(once, twice, ["k"])
+
+
+def test_stored_feed_equals_the_compared_one(spark, rows, path, plan):
+    v0 = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "k string, v int")
+    batch = spark.createDataFrame([("b", 20), ("c", 3), ("d", 4)], "k string, v int")
+    v1 = changes.upsert(v0, batch, ["k"], [F.col("v")])
+    feed = snapshots.upsert_feed(v0, batch, ["k"])
+    compared = snapshots.change_feed(v0, v1, ["k"], 1, T0).drop("_commit_version", "_commit_timestamp")
+    assert rows(feed) == rows(compared.select(*feed.columns))
+    snapshots.commit(v0, path + "/t", "CREATE")
+    snapshots.commit(v1, path + "/t", "MERGE", feed=feed)
+    snapshots.commit(changes.delete_where(v1, F.col("v") == 4), path + "/t", "DELETE",
+                     feed=snapshots.delete_feed(v1, F.col("v") == 4))
+    found = snapshots.table_changes(spark, path + "/t", ["k"], 1, 2)
+    assert "FullOuter" not in plan(found)
+    assert rows(found, "_change_type", "k", "v", "_commit_version") == [
+        ("delete", "d", 4, 2), ("insert", "d", 4, 1), ("update_postimage", "b", 20, 1), ("update_preimage", "b", 2, 1)]
+
+
 def test_change_feed_with_a_new_column(spark, rows):
     before = spark.createDataFrame([(1, "a"), (2, "b")], SCHEMA)
     after = snapshots.add_column(before, "tip", "double").withColumn(

@@ -126,7 +126,7 @@ def test_sort_is_refused_on_a_plain_stream_and_allowed_on_complete_aggregates(sp
 
 
 def test_update_sink_writes_changed_groups_only(spark, rows, path):
-    schema = "k string, n bigint, __sequence struct<batch bigint>, __deleted boolean"
+    schema = "k string, n bigint, __sequence struct<generation bigint, batch bigint>, __deleted boolean"
     for day, keys in ((1, "ab"), (2, "b")):
         land(spark, [(day, k, at(day), 1.0) for k in keys], path + "/s")
         totals = stream(spark, path + "/s").groupBy("k").agg(F.count("*").alias("n"))
@@ -134,6 +134,11 @@ def test_update_sink_writes_changed_groups_only(spark, rows, path):
     log = deltalog.read_log(spark, path + "/t", schema)
     assert log.count() == 3
     assert rows(changes.live_rows(changes.merge_latest(None, log, ["k"]))) == [("a", 1), ("b", 2)]
+    land(spark, [(3, "b", at(3), 1.0)], path + "/s")
+    totals = stream(spark, path + "/s").groupBy("k").agg(F.count("*").alias("n"))
+    sinks.update_sink(totals, path + "/t", path + "/new-checkpoint")  # batch ids start again
+    log = deltalog.read_log(spark, path + "/t", schema)
+    assert rows(changes.live_rows(changes.merge_latest(None, log, ["k"]))) == [("a", 1), ("b", 3)]
 
 
 def test_cdc_sink_is_idempotent_and_feeds_both_dimension_types(spark, rows, path):

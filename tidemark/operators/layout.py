@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.metadata import file_sizes
+from tidemark.session import delete_folder, stored
 
 
 def files_for(total_bytes: int, target_bytes: int = 256 * 1024 * 1024) -> int:
@@ -17,10 +18,13 @@ def files_for(total_bytes: int, target_bytes: int = 256 * 1024 * 1024) -> int:
 
 
 def compact(spark: SparkSession, source: str, target: str, target_bytes: int = 256 * 1024 * 1024) -> int:
-    """Rewrite the many small files of ``source`` as few large ones; returns their number."""
+    """Rewrite the many small files of ``source`` as few large ones; returns the number aimed at.
+
+    Small files are packed into the tasks of the scan, so nothing is shuffled.
+    """
     total = file_sizes(spark, source).filter(F.col("path").endswith(".parquet")).agg(F.sum("length")).first()[0]
     n = files_for(total or 0, target_bytes)
-    spark.read.parquet(source).repartition(n).write.mode("overwrite").parquet(target)
+    spark.read.parquet(source).coalesce(n).write.mode("overwrite").parquet(target)
     return n
 
 
@@ -68,8 +72,17 @@ def interleave(columns: Sequence[Column], bits: int) -> Column:
     return code
 
 
-def zorder(df: DataFrame, columns: Sequence[str], files: int, bits: int = 6) -> DataFrame:
-    """Cluster rows along a Z-order curve over ``columns`` into about ``files`` range partitions."""
+def curve_bits(files: int, columns: int) -> int:
+    """Bits per column that give the curve at least four cells per file."""
+    return max(1, -(-(4 * files - 1).bit_length() // columns))
+
+
+def zorder(df: DataFrame, columns: Sequence[str], files: int, bits: int | None = None) -> DataFrame:
+    """Cluster rows along a Z-order curve over ``columns`` into about ``files`` range partitions.
+
+    The resolution of the curve follows from the number of files unless ``bits`` per column are given.
+    """
+    bits = bits or curve_bits(files, len(columns))
     names = [f"__z{i}" for i in range(len(columns))]
     bucketed = quantile_buckets(df, dict(zip(columns, names)), 2 ** bits - 1)
     # One code per cell, and the columns themselves to split a crowded cell.
@@ -127,17 +140,22 @@ def between_layouts(old: DataFrame, new: DataFrame, timestamp: str, start: str,
 def rewrite_partitions(spark: SparkSession, path: str, partition: str, touched: DataFrame, transform) -> None:
     """Apply ``transform`` to the partitions listed in ``touched`` and leave the others alone.
 
-    ``touched`` has one column, the partition value. Only the touched folders are
-    read and replaced (dynamic partition overwrite); a partition that loses all
-    its rows is replaced by an empty file.
+    ``touched`` has one column, the partition value (NULL is a partition too). The listed partitions are read once and
+    their new rows written aside; then their folders are replaced (dynamic partition overwrite), and the folders of
+    those that lost all rows are deleted.
     """
     table = spark.read.parquet(path)
-    listed = touched.select(F.col(touched.columns[0]).alias(partition)).distinct()
-    rows = table.join(listed, partition, "left_semi").select(*table.columns)
-    after = transform(rows)
-    emptied = listed.join(after.select(partition), partition, "left_anti").collect()  # one value per emptied folder
-    empty = table.drop(partition).limit(0)
+    listed = stored(touched.select(F.col(touched.columns[0]).alias("__touched")).distinct(), "touched")
+    rows = table.join(listed, table[partition].eqNullSafe(listed["__touched"]), "left_semi")
+    folder = F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]+$", 1)
+    folders = stored(table.select(F.col(partition).alias("__touched"), folder.alias("folder")).join(
+        listed.withColumnRenamed("__touched", "__listed"), F.col("__touched").eqNullSafe(F.col("__listed")),
+        "left_semi").distinct(), "folders")
+    after = stored(transform(rows.select(*table.columns)), "rewritten")
+    left = after.select(F.col(partition).alias("__left")).distinct()
+    emptied = stored(folders.join(left, F.col("__touched").eqNullSafe(F.col("__left")), "left_anti").select("folder"),
+                     "emptied")
     rebalanced(after, partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy(partition).parquet(path)
-    for row in emptied:
-        empty.write.mode("overwrite").parquet(f"{path}/{partition}={row[0]}")
+    for row in emptied.toLocalIterator():  # file system calls only, one per emptied partition
+        delete_folder(spark, row.folder)

@@ -10,14 +10,21 @@ from tidemark.functions.dates import minutes_between
 SOURCE, TARGET = "source_table_full_name", "target_table_full_name"
 
 
+def _latest(edges: DataFrame) -> DataFrame:
+    """Each edge once, with its newest time, newest first."""
+    others = [c for c in edges.columns if c != "event_time"]
+    return edges.groupBy(*others).agg(F.max("event_time").alias("event_time")).orderBy(
+        F.col("event_time").desc(), SOURCE, TARGET)
+
+
 def upstream(edges: DataFrame, pattern: str) -> DataFrame:
     """Edges into the tables whose name matches, newest first."""
-    return edges.filter(F.col(TARGET).like(pattern)).orderBy(F.col("event_time").desc(), SOURCE, TARGET)
+    return _latest(edges.filter(F.col(TARGET).like(pattern)))
 
 
 def downstream(edges: DataFrame, pattern: str) -> DataFrame:
     """Edges out of the tables whose name matches, newest first."""
-    return edges.filter(F.col(SOURCE).like(pattern)).orderBy(F.col("event_time").desc(), SOURCE, TARGET)
+    return _latest(edges.filter(F.col(SOURCE).like(pattern)))
 
 
 def column_lineage(edges: DataFrame, source_pattern: str, target_pattern: str) -> DataFrame:

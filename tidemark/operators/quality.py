@@ -119,11 +119,11 @@ def layer_counts(layers: Mapping[str, DataFrame]) -> DataFrame:
     return result
 
 
-def rows_dropped(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Rows in, rows out, rows dropped and dropped percent between two layers."""
-    sides = before.select(F.lit(1).alias("i"), F.lit(0).alias("o")).unionByName(
-        after.select(F.lit(0).alias("i"), F.lit(1).alias("o")))
-    counted = sides.agg(F.sum("i").alias("rows_in"), F.sum("o").alias("rows_out"))
+def rows_dropped(df: DataFrame, rules: Rules) -> DataFrame:
+    """Rows in, rows out, rows dropped and dropped percent under the drop rules, from one aggregate."""
+    _check(rules)
+    kept = reduce(lambda a, b: a & b, [_passes(p) for p, action in rules.values() if action == "drop"], F.lit(True))
+    counted = df.agg(F.count(F.lit(1)).alias("rows_in"), F.count_if(kept).alias("rows_out"))
     dropped = F.col("rows_in") - F.col("rows_out")
     return counted.withColumn("dropped", dropped).withColumn(
         "dropped_pct", rounded_ratio(dropped, F.col("rows_in"), 1, 100))
@@ -137,12 +137,12 @@ def absence_check(df: DataFrame, key: str, dirty: DataFrame) -> DataFrame:
 
 
 def assert_rows(df: DataFrame, violation: Column, empty_message: str, violation_message: str) -> DataFrame:
-    """One row PASS; raises when the table is empty or a row violates the condition."""
+    """One row with PASS and the counts behind it; raises when the table is empty or a row violates the condition."""
     counted = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(violation).alias("bad"))
     return counted.select(
         F.when(F.col("n") == 0, F.raise_error(F.lit(empty_message)).cast("string"))
         .when(F.col("bad") > 0, F.raise_error(F.lit(violation_message)).cast("string"))
-        .otherwise(F.lit("PASS")).alias("check_result"))
+        .otherwise(F.lit("PASS")).alias("check_result"), F.col("n").alias("rows"), F.col("bad").alias("violations"))
 
 
 def null_profile(df: DataFrame, columns: Sequence[str], invalid: Mapping[str, Column] | None = None) -> DataFrame:

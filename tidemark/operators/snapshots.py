@@ -1,6 +1,7 @@
 """Versioned tables on plain parquet files.
 
     <table>/v=<n>/...   the rows of version n
+    <table>/_feed/v=<n> the row changes of version n, where the writer knew them
     <table>/_history    one row per committed version
 
 Data is written first and the history row last; readers only see versions that
@@ -15,12 +16,12 @@ import json
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.operators.dedup import duplicate_keys
-from tidemark.operators.keyed import key_match, without_keys
+from tidemark.operators.keyed import key_match, with_keys, without_keys
 from tidemark.session import path_exists
 
 HISTORY = ("version bigint, timestamp timestamp_ntz, operation string, batch_id string, "
@@ -40,9 +41,12 @@ def history(spark: SparkSession, table: str) -> DataFrame:
 
 def commit(df: DataFrame, table: str, operation: str, batch_id: str | None = None,
            checks: Mapping[str, str] | None = None, partition_by: Sequence[str] = (),
-           timestamp: datetime | None = None) -> int:
+           timestamp: datetime | None = None, feed: DataFrame | None = None) -> int:
     """Write ``df`` as the next version and return its number.
 
+    ``feed`` holds the row changes that lead to it (see ``upsert_feed`` and ``delete_feed``); they are stored with the
+    version, and ``table_changes`` then compares no two versions.
+
     ``checks`` are CHECK predicates by name; as in SQL, NULL passes. They are
     counted by the write itself, and a violation leaves the version uncommitted.
     A ``batch_id`` that was committed before is not written again.
@@ -64,6 +68,8 @@ def commit(df: DataFrame, table: str, operation: str, batch_id: str | None = Non
     for i, name in enumerate(checks or {}):
         if seen.get[f"bad_{i}"]:
             raise ConstraintViolation(f"{name}: {seen.get[f'bad_{i}']} rows")
+    if feed is not None:
+        feed.write.mode("overwrite").parquet(f"{table}/_feed/v={version}")
     at = timestamp or datetime.now(timezone.utc).replace(tzinfo=None)
     row = [(version, at, operation, batch_id, seen.get["rows"], df.schema.json())]
     spark.createDataFrame(row, HISTORY).coalesce(1).write.mode("append").parquet(f"{table}/_history")
@@ -92,12 +98,15 @@ def _read(spark: SparkSession, table: str, commit_row) -> DataFrame:
 
 def change_feed(before: DataFrame, after: DataFrame, keys: Sequence[str], version: int,
                 timestamp: datetime) -> DataFrame:
-    """Row changes between two states with unique keys.
+    """Row changes between two states with unique keys; a repeated key is refused.
 
+    This compares two whole states. A writer that knows its changes stores them with ``commit``.
     ``_change_type`` is insert, delete, update_preimage or update_postimage.
     NULLs compare equal to NULLs. Columns that only one side has read as NULL on
     the other.
     """
+    for side in (before, after):
+        require_unique(side, keys)
     columns = list(dict.fromkeys([*after.columns, *before.columns]))
     types = {f.name: f.dataType for df in (before, after) for f in df.schema.fields}
 
@@ -118,11 +127,36 @@ def change_feed(before: DataFrame, after: DataFrame, keys: Sequence[str], versio
         .when(F.col("__new").isNull(), F.array(entry("delete", "__old")))
         .otherwise(F.array(entry("update_preimage", "__old"), entry("update_postimage", "__new")))
     )
-    return both.select(F.inline(entries)).withColumns({
+    return _stamped(both.select(F.inline(entries)), version, timestamp)
+
+
+def _stamped(feed: DataFrame, version: int, timestamp: datetime) -> DataFrame:
+    return feed.withColumns({
         "_commit_version": F.lit(version).cast("bigint"),
         "_commit_timestamp": F.lit(timestamp).cast("timestamp_ntz")})
 
 
+def upsert_feed(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The changes of an upsert of ``batch`` (one row per key, columns of the target) into ``target`` (unique keys).
+
+    Only keys of the batch are looked at; a batch row that equals its target row is no change.
+    """
+    require_unique(batch, keys)
+    new = batch.select(*[F.col(k).alias(f"__key_{k}") for k in keys], F.struct(*target.columns).alias("__new"))
+    old = target.select(*keys, F.struct(*target.columns).alias("__old"))
+    met = old.join(new, key_match(keys, null_safe=False)).filter(~F.col("__old").eqNullSafe(F.col("__new"))).select(
+        F.inline(F.array(*[F.struct(F.lit(kind).alias("_change_type"), *[F.col(f"{side}.{c}").alias(c) for c in target.columns])
+                           for kind, side in (("update_preimage", "__old"), ("update_postimage", "__new"))])))
+    known = with_keys(target.select(*keys), batch, keys)
+    inserted = without_keys(batch.select(*target.columns), known, keys)
+    return met.unionByName(inserted.select(F.lit("insert").alias("_change_type"), *target.columns))
+
+
+def delete_feed(target: DataFrame, condition: Column) -> DataFrame:
+    """The changes of a DELETE WHERE."""
+    return target.filter(condition).select(F.lit("delete").alias("_change_type"), *target.columns)
+
+
 def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
     """Raise when a key occurs twice."""
     found = duplicate_keys(df, keys).limit(1).first()
@@ -139,7 +173,10 @@ def table_changes(spark: SparkSession, table: str, keys: Sequence[str], start: i
     for row in commits.orderBy("version").collect():  # one row per commit
         after = _read(spark, table, row)
         if row.version >= start:
-            one = change_feed(after.limit(0) if before is None else before, after, keys, row.version, row.timestamp)
+            if path_exists(spark, f"{table}/_feed/v={row.version}"):
+                one = _stamped(spark.read.parquet(f"{table}/_feed/v={row.version}"), row.version, row.timestamp)
+            else:
+                one = change_feed(after.limit(0) if before is None else before, after, keys, row.version, row.timestamp)
             feed = one if feed is None else feed.unionByName(one, allowMissingColumns=True)
         before = after
     if feed is None:

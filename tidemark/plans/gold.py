@@ -87,15 +87,16 @@ def product_performance(facts: DataFrame, products: DataFrame) -> DataFrame:
 DISCOUNT_GRAIN = ("order_date", "region", "category", "channel")
 
 
-def customer_day_sales(priced: DataFrame, statuses: list[str]) -> DataFrame:
-    """Priced lines of some statuses, reduced to one row per day, region, category, channel and customer."""
-    return priced.filter(F.col("status").isin(statuses)).groupBy(*DISCOUNT_GRAIN, "customer_id").agg(
+def customer_day_sales(priced: DataFrame, customers: DataFrame) -> DataFrame:
+    """Priced lines reduced to one row per day, category, channel and customer; only then the customer's region joins."""
+    reduced = priced.groupBy("order_date", "category", "channel", "customer_id").agg(
         F.count("order_id").alias("lines"),
         F.sum("quantity").alias("units"),
         F.sum("gross_cents").alias("gross"),
         F.sum("net_cents").alias("net"),
         F.sum("discount_points").alias("points"),
     )
+    return reduced.join(customers.select("customer_id", "region"), "customer_id")
 
 
 def discount_impact(sales: DataFrame) -> DataFrame:

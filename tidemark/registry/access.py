@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import masks
@@ -90,13 +90,25 @@ def sql_masked_customers(t: Tables) -> DataFrame:
 # Layout.
 
 
-@query("zorder_skip_report")
+@query("zorder_skip_report", """
+SELECT count(*) AS covered_rows, count(*) FILTER (WHERE l_shipdate BETWEEN TIMESTAMP '1998-01-01' AND TIMESTAMP '1998-03-01')
+       AS matching_rows, CAST(0 AS BIGINT) AS matching_rows_in_skipped_files, true AS some_files_skipped FROM lineitem""")
 def zorder_skip_report(t: Tables) -> DataFrame:
+    """What the file ranges of a clustered table let a date filter skip, held against the rows themselves."""
     path = work_path(t.spark, "zorder")
     layout.zorder(t.lineitem, ["l_partkey", "l_shipdate"], files=32).write.parquet(path)
-    ranges = layout.file_ranges(t.spark.read.parquet(path), ["l_partkey", "l_shipdate"])
+    written = t.spark.read.schema(t.lineitem.schema).parquet(path)
+    ranges = layout.file_ranges(written, ["l_partkey", "l_shipdate"])
     low, high = F.lit("1998-01-01").cast("timestamp_ntz"), F.lit("1998-03-01").cast("timestamp_ntz")
-    return layout.skip_report(ranges, (F.col("min_l_shipdate") <= high) & (F.col("max_l_shipdate") >= low))
+    may_match = (F.col("min_l_shipdate") <= high) & (F.col("max_l_shipdate") >= low)
+    report = layout.skip_report(ranges, may_match)
+    per_file = written.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(
+        F.count("*").alias("n"), F.count_if(F.col("l_shipdate").between(low, high)).alias("hits"))
+    checked = per_file.join(ranges.select("file_path", may_match.alias("read")), "file_path").agg(
+        F.sum("n").alias("covered_rows"), F.sum("hits").alias("matching_rows"),
+        F.sum(F.when(~F.col("read"), F.col("hits")).otherwise(0)).alias("matching_rows_in_skipped_files"))
+    skipped = report.select((F.col("files_read") < F.col("files")).alias("some_files_skipped"))
+    return checked.join(skipped, F.lit(True))
 
 
 @query("zorder_rows", "SELECT * FROM lineitem")
@@ -140,11 +152,17 @@ def mixed_partition_layout(t: Tables) -> DataFrame:
 
 
 @query("partition_rewrite", """
-SELECT event_id, ts, user_id, value FROM events WHERE NOT (event_type = 'error' AND value > 30)""")
+SELECT event_id, ts, user_id, value FROM (
+  SELECT * REPLACE (CASE WHEN event_id % 7 = 0 THEN NULL ELSE ts END AS ts) FROM events)
+WHERE NOT ((event_type = 'error' AND value > 30) OR ts < TIMESTAMP '2024-01-03')
+   OR (ts IS NULL AND NOT (event_type = 'error' AND value > 30))""")
 def partition_rewrite(t: Tables) -> DataFrame:
+    """Erase rows of some days, all rows of two days, and rows without a time."""
     path = work_path(t.spark, "rewrite")
-    layout.write_by_day(t.events.select(*EVENT_COLUMNS, "event_type"), path, "ts")
-    erased = (F.col("event_type") == "error") & (F.col("value") > 30)
+    events = t.events.withColumn("ts", F.when(F.col("event_id") % 7 != 0, F.col("ts")))
+    layout.write_by_day(events.select(*EVENT_COLUMNS, "event_type"), path, "ts")
+    early = F.coalesce(F.col("ts") < F.lit("2024-01-03").cast("timestamp_ntz"), F.lit(False))
+    erased = ((F.col("event_type") == "error") & (F.col("value") > 30)) | early
     touched = t.spark.read.parquet(path).filter(erased).select("_day")
     layout.rewrite_partitions(t.spark, path, "_day", touched, lambda rows: rows.filter(~erased))
     return t.spark.read.parquet(path).select(*EVENT_COLUMNS)
@@ -154,41 +172,48 @@ def partition_rewrite(t: Tables) -> DataFrame:
 
 EDGES_SQL = """
 edges AS (
-  SELECT DISTINCT s_name AS source_table_full_name, p_brand || '.' || p_name AS target_table_full_name,
-         p_type AS created_by FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey)"""
-
-
-def edges(t: Tables) -> DataFrame:
-    """Supplier feeds part: who would be affected when a supplier stops."""
-    pairs = t.lineitem.groupBy("l_suppkey", "l_partkey").agg(F.max("l_shipdate").alias("event_time"))
-    return (
-        pairs.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-        .select(F.col("s_name").alias("source_table_full_name"),
-                F.concat_ws(".", "p_brand", "p_name").alias("target_table_full_name"),
-                F.col("p_type").alias("created_by"), "event_time")
-    )
+  SELECT s_name AS source_table_full_name, p_brand || '.' || p_name AS target_table_full_name,
+         p_type AS created_by, max(l_shipdate) AS event_time
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3)"""
+
+
+def edges(t: Tables, source: Column | None = None, target: Column | None = None) -> DataFrame:
+    """Supplier feeds part: who would be affected when a supplier stops.
+
+    Conditions on either name cut the lines down before they are aggregated.
+    """
+    suppliers = t.supplier.select("s_suppkey", F.col("s_name").alias("source_table_full_name"))
+    parts = t.part.select("p_partkey", F.concat_ws(".", "p_brand", "p_name").alias("target_table_full_name"),
+                          F.col("p_type").alias("created_by"))
+    lines = t.lineitem.select("l_suppkey", "l_partkey", "l_shipdate")
+    if source is not None:
+        suppliers = suppliers.filter(source)
+        lines = lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"), "left_semi")
+    if target is not None:
+        parts = parts.filter(target)
+        lines = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left_semi")
+    pairs = lines.groupBy("l_suppkey", "l_partkey").agg(F.max("l_shipdate").alias("event_time"))
+    return pairs.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).join(
+        parts, F.col("l_partkey") == F.col("p_partkey")).select(
+        "source_table_full_name", "target_table_full_name", "created_by", "event_time")
 
 
 @query("lineage_impact", "WITH" + EDGES_SQL + """
 SELECT DISTINCT target_table_full_name AS will_be_affected, created_by AS owned_by FROM edges
 WHERE source_table_full_name = 'Supplier#000000007'""")
 def lineage_impact(t: Tables) -> DataFrame:
-    return metadata.impact(edges(t), "Supplier#000000007")
+    name = "Supplier#000000007"
+    return metadata.impact(edges(t, source=F.col(metadata.SOURCE) == name), name)
 
 
-@query("lineage_downstream", "WITH" + EDGES_SQL + """
-SELECT source_table_full_name, target_table_full_name, created_by FROM edges
-WHERE source_table_full_name LIKE 'Supplier#%3'""")
+@query("lineage_downstream", "WITH" + EDGES_SQL + " SELECT * FROM edges WHERE source_table_full_name LIKE 'Supplier#%3'")
 def lineage_downstream(t: Tables) -> DataFrame:
-    return metadata.downstream(edges(t), "Supplier#%3").drop("event_time").distinct()
+    return metadata.downstream(edges(t, source=F.col(metadata.SOURCE).like("Supplier#%3")), "Supplier#%3")
 
 
-@query("lineage_upstream", "WITH" + EDGES_SQL + """
-SELECT source_table_full_name, target_table_full_name, created_by FROM edges
-WHERE target_table_full_name LIKE 'Brand#1%.%ring'""")
+@query("lineage_upstream", "WITH" + EDGES_SQL + " SELECT * FROM edges WHERE target_table_full_name LIKE 'Brand#1%.%ring'")
 def lineage_upstream(t: Tables) -> DataFrame:
-    return metadata.upstream(edges(t), "Brand#1%.%ring").drop("event_time").distinct()
+    return metadata.upstream(edges(t, target=F.col(metadata.TARGET).like("Brand#1%.%ring")), "Brand#1%.%ring")
 
 
 @query("audit_recent_errors", """
@@ -206,10 +231,13 @@ FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderdate >= TIMEST
 GROUP BY 1, 2 ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 20""")
 def run_history(t: Tables) -> DataFrame:
     """An order as a run: it starts when it is placed and ends with its last shipment."""
-    ended = t.lineitem.groupBy("l_orderkey").agg(F.max("l_shipdate").alias("end_time"))
-    runs = t.orders.join(ended, F.col("o_orderkey") == F.col("l_orderkey")).select(
+    since = F.lit("2001-07-25").cast("timestamp_ntz")
+    started = t.orders.filter(F.col("o_orderdate") >= since)
+    ended = t.lineitem.join(started, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi").groupBy(
+        "l_orderkey").agg(F.max("l_shipdate").alias("end_time"))
+    runs = started.join(ended, F.col("o_orderkey") == F.col("l_orderkey")).select(
         F.col("o_orderkey").alias("run_id"), F.col("o_orderdate").alias("start_time"), "end_time")
-    return metadata.run_history(runs, F.lit("2001-07-25").cast("timestamp_ntz"), 20)
+    return metadata.run_history(runs, since, 20)
 
 
 @query("storage_by_table")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.money import amount, cents, share_of
 from tidemark.operators import changes, deltalog, history, snapshots
+from tidemark.operators.dedup import latest_per_key
 from tidemark.plans.tables import Tables
 from tidemark.registry.core import query
 from tidemark.session import stored, work_path
@@ -208,18 +209,36 @@ def mor_read_optimized(t: Tables) -> DataFrame:
 
 @query("mor_compacted", f"SELECT * FROM events QUALIFY {LATEST_SQL}")
 def mor_compacted(t: Tables) -> DataFrame:
-    table, base, log = logged_table(t)
-    deltalog.write_base(deltalog.snapshot_read(base, log, ["user_id"]), table, 1)
-    return changes.live_rows(deltalog.read_base(t.spark, table, 1, base.schema))
+    table, base, _ = logged_table(t)
+    version = deltalog.compact(t.spark, table, 0, base.schema, ["user_id"])
+    merged = deltalog.snapshot_read(deltalog.read_base(t.spark, table, version, base.schema),
+                                    deltalog.read_log(t.spark, table, base.schema), ["user_id"])
+    return changes.live_rows(merged)
 
 
-@query("mor_erase", f"""
+ERASED_SQL = f"""
 SELECT * FROM (SELECT * FROM events QUALIFY {LATEST_SQL})
-WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'error' AND value > 40)""")
+WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)"""
+
+
+def leaving_users(t: Tables) -> DataFrame:
+    return t.customer.filter("c_acctbal < 0").select(F.col("c_custkey").alias("user_id"))
+
+
+@query("mor_erase", ERASED_SQL)
 def mor_erase(t: Tables) -> DataFrame:
     _, base, log = logged_table(t)
-    erased = t.events.filter("event_type = 'error' AND value > 40").select("user_id")
-    return changes.live_rows(deltalog.erased_read(deltalog.snapshot_read(base, log, ["user_id"]), erased, ["user_id"]))
+    merged = deltalog.snapshot_read(base, log, ["user_id"])
+    return changes.live_rows(deltalog.erased_read(merged, leaving_users(t), ["user_id"]))
+
+
+@query("mor_erase_compacted", ERASED_SQL)
+def mor_erase_compacted(t: Tables) -> DataFrame:
+    """Erasure for good: every file left under base and log is read afterwards, and none holds an erased key."""
+    table, base, _ = logged_table(t)
+    deltalog.compact(t.spark, table, 0, base.schema, ["user_id"], leaving_users(t))
+    left = t.spark.read.schema(base.schema).option("recursiveFileLookup", True).parquet(f"{table}/base", f"{table}/log")
+    return changes.live_rows(left)
 
 
 @query("incremental_pull", """
@@ -252,10 +271,14 @@ def order_versions(t: Tables) -> str:
     target = target_orders(t)
     snapshots.commit(target, table, "CREATE", timestamp=COMMIT_TIMES[0])
     v0 = snapshots.read_as_of(t.spark, table, 0)
-    snapshots.commit(changes.upsert(v0, order_batch(t), ["order_id"], by_date()), table, "MERGE",
-                     checks={"positive_amount": "order_amount > 0"}, timestamp=COMMIT_TIMES[1])
+    batch = latest_per_key(order_batch(t), ["order_id"], by_date())
+    snapshots.commit(changes.upsert(v0, batch, ["order_id"], by_date()), table, "MERGE",
+                     checks={"positive_amount": "order_amount > 0"}, timestamp=COMMIT_TIMES[1],
+                     feed=snapshots.upsert_feed(v0, batch, ["order_id"]))
     v1 = snapshots.read_as_of(t.spark, table, 1)
-    snapshots.commit(changes.delete_where(v1, F.col("status") == "P"), table, "DELETE", timestamp=COMMIT_TIMES[2])
+    pending = F.col("status") == "P"
+    snapshots.commit(changes.delete_where(v1, pending), table, "DELETE", timestamp=COMMIT_TIMES[2],
+                     feed=snapshots.delete_feed(v1, pending))
     return table
 
 

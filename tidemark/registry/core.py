@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans.tables import Tables
-from tidemark.session import apply_runtime_conf, folder_bytes
+from tidemark.session import runtime_conf
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,8 +20,8 @@ def query(name: str, sql: str | None = None):
 
     def register(fn: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            apply_runtime_conf(spark, folder_bytes(spark, sf_dir))
-            return fn(Tables(spark, sf_dir.rstrip("/")))
+            with runtime_conf(spark):
+                return fn(Tables(spark, sf_dir.rstrip("/")))
 
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")

@@ -57,7 +57,7 @@ def sales_facts(t: Tables) -> DataFrame:
 
 
 def priced_lines(t: Tables) -> DataFrame:
-    return silver.priced_lines(t.raw_lines(), t.order_headers(), t.customers(), t.products())
+    return silver.priced_lines(t.raw_lines(), t.order_headers(), t.products(), REVENUE_STATUSES)
 
 
 def store_orders(t: Tables) -> DataFrame:
@@ -73,7 +73,7 @@ SELECT order_id, line_number, order_date, f.customer_id, customer_name, city, ti
        p_name AS product_name, p_type AS category, quantity, price, total_cents / 100.0 AS total_amount
 FROM facts f JOIN customers c ON f.customer_id = c.customer_id JOIN part ON product_id = p_partkey""")
 def silver_lineitems(t: Tables) -> DataFrame:
-    return silver.silver_lines(sales_facts(t), t.customers(), t.products())
+    return silver.silver_lines(t.raw_lines(), t.order_headers(), t.customers(), t.products())
 
 
 @query("daily_revenue", "WITH" + FACTS_SQL + """
@@ -112,7 +112,7 @@ SELECT order_date, region, category, channel, order_count, unique_customers, tot
        CAST(gross AS DOUBLE) / 100 AS gross_revenue, CAST(net AS DOUBLE) / 100 AS net_revenue,
        avg_order_value, avg_discount_pct, discount_impact_pct FROM gold""")
 def discount_impact(t: Tables) -> DataFrame:
-    return gold.discount_impact(gold.customer_day_sales(priced_lines(t), REVENUE_STATUSES))
+    return gold.discount_impact(gold.customer_day_sales(priced_lines(t), t.customers()))
 
 
 @query("region_rollup", "WITH" + PRICED_SQL + """,
@@ -127,7 +127,7 @@ SELECT s.*, e.unique_customers, e.avg_order_value FROM summed s JOIN (
          """ + half_up("sum(net)", "count(*) * 100") + """ AS avg_order_value
   FROM priced WHERE status IN ('F', 'O') GROUP BY 1) e ON s.region = e.region""")
 def region_rollup(t: Tables) -> DataFrame:
-    return gold.region_rollup(gold.customer_day_sales(priced_lines(t), REVENUE_STATUSES))
+    return gold.region_rollup(gold.customer_day_sales(priced_lines(t), t.customers()))
 
 
 @query("store_day_revenue", """

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import calendar_of
@@ -83,18 +83,23 @@ def placed_orders(t: Tables) -> DataFrame:
     return t.order_headers().drop("priority", "customer_rating").join(home, "customer_id")
 
 
-def discounted_orders(t: Tables) -> DataFrame:
-    """Placed orders with store attributes and the discount summed over their lines."""
-    lines = t.raw_lines()
-    discount = lines.groupBy("order_id").agg(
+def discounted_orders(t: Tables, wanted: Column) -> DataFrame:
+    """The wanted orders with store attributes and the discount summed over their lines; other lines are left out first."""
+    keys = t.order_headers().filter(wanted).select("order_id")
+    discount = t.raw_lines().join(keys, "order_id", "left_semi").groupBy("order_id").agg(
         F.sum(share_of(cents("list_amount"), basis_points("discount_pct"))).alias("discount_cents"))
     return (
-        placed_orders(t).join(discount, "order_id", "left")
+        placed_orders(t).filter(wanted).join(discount, "order_id", "left")
         .withColumn("discount_amount", amount(F.coalesce("discount_cents", F.lit(0))))
         .join(t.stores(), "store_id")
     )
 
 
+def in_report_range() -> Column:
+    first, last = (F.lit(d).cast("timestamp_ntz") for d in (FIRST_DAY, RUN_DATE))
+    return (F.col("order_date") >= first) & (F.col("order_date") < last)
+
+
 def fact(t: Tables, how: str = "inner") -> DataFrame:
     return reports.fact_orders(placed_orders(t).drop("category"), t.stores(), calendar_of(t.orders, "o_orderdate"), how)
 
@@ -128,7 +133,7 @@ def region_month(t: Tables) -> DataFrame:
 
 @query("daily_report", "WITH" + ORDERS_SQL + " SELECT * FROM report")
 def daily_report(t: Tables) -> DataFrame:
-    report = reports.daily_report(discounted_orders(t), FIRST_DAY, RUN_DATE)
+    report = reports.daily_report(discounted_orders(t, in_report_range()), FIRST_DAY, RUN_DATE)
     return report.orderBy(F.col("order_date").desc(), F.col("net_revenue").desc(), "store_id")
 
 
@@ -139,12 +144,12 @@ SELECT order_date, count(DISTINCT store_id) AS stores_with_orders, CAST(sum(tota
        """ + half_up("sum(CAST(round(avg_order_value * 1000000) AS BIGINT))", "count(*) * 1000000")
        + " AS avg_of_avg_order_value FROM report GROUP BY 1")
 def daily_report_totals(t: Tables) -> DataFrame:
-    return reports.daily_report_totals(reports.daily_report(discounted_orders(t), FIRST_DAY, RUN_DATE))
+    return reports.daily_report_totals(reports.daily_report(discounted_orders(t, in_report_range()), FIRST_DAY, RUN_DATE))
 
 
 @query("completed_revenue", "WITH" + ORDERS_SQL + " SELECT * FROM completed")
 def completed_revenue(t: Tables) -> DataFrame:
-    return reports.completed_revenue(discounted_orders(t), "F")
+    return reports.completed_revenue(discounted_orders(t, F.col("status") == "F"), "F")
 
 
 @query("completed_totals", "WITH" + ORDERS_SQL + """
@@ -154,7 +159,7 @@ SELECT CAST(sum(total_orders) AS BIGINT) AS total_completed_orders,
        """ + half_up("sum(CAST(round(avg_order_value * 100) AS BIGINT))", "count(*) * 100")
        + " AS avg_of_avg_order_value FROM completed")
 def completed_totals(t: Tables) -> DataFrame:
-    return reports.completed_totals(reports.completed_revenue(discounted_orders(t), "F"))
+    return reports.completed_totals(reports.completed_revenue(discounted_orders(t, F.col("status") == "F"), "F"))
 
 
 @query("order_status_share", "WITH" + ORDERS_SQL + """

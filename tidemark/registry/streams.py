@@ -79,15 +79,18 @@ def stream_complete_agg(t: Tables) -> DataFrame:
 @query("stream_update_agg", f"""
 SELECT event_type, count(event_id) AS events, {TOTAL} AS total_value FROM events GROUP BY 1""")
 def stream_update_agg(t: Tables) -> DataFrame:
+    """Several batches, and then a new checkpoint that reads everything again."""
     root = work_path(t.spark, "update")
-    for half in halves(t):
-        land(half, f"{root}/source")
+    early, late = halves(t)
+    for checkpoint, part in (("first", early), ("first", late), ("second", None)):
+        if part is not None:
+            land(part, f"{root}/source")
         stream = incremental.table_stream(t.spark, f"{root}/source", SCHEMAS["events"])
         totals = stream.groupBy("event_type").agg(F.count("event_id").alias("events"),
                                                   total_value().alias("total_value"))
-        sinks.update_sink(totals, f"{root}/table", f"{root}/checkpoint")
+        sinks.update_sink(totals, f"{root}/table", f"{root}/{checkpoint}")
     log = deltalog.read_log(t.spark, f"{root}/table", "event_type string, events bigint, total_value double, "
-                            "__sequence struct<batch bigint>, __deleted boolean")
+                            "__sequence struct<generation bigint, batch bigint>, __deleted boolean")
     return changes.live_rows(changes.merge_latest(None, log, ["event_type"]))
 
 
@@ -189,11 +192,19 @@ def stream_scd1(t: Tables) -> DataFrame:
     return changes.live_rows(changes.merge_latest(None, log, ["user_id"]))
 
 
-@query("stream_progress", "SELECT 'bronze' AS name, count(*) AS input_rows FROM events")
+#: Files of the queries that take one file per batch: more batches than a query remembers of itself.
+MANY_FILES = 104
+
+
+@query("stream_progress", f"""
+SELECT 'bronze' AS name, count(*) AS input_rows, CAST({MANY_FILES} AS BIGINT) AS batches FROM events""")
 def stream_progress(t: Tables) -> DataFrame:
     root = work_path(t.spark, "progress")
-    done = runs.run_available(event_stream(t), f"{root}/table", f"{root}/checkpoint", name="bronze")
-    return runs.progress(t.spark, [done]).groupBy("name").agg(F.sum("input_rows").alias("input_rows"))
+    t.events.select("event_id").repartitionByRange(MANY_FILES, "event_id").write.parquet(f"{root}/source")
+    stream = incremental.file_stream(t.spark, f"{root}/source", "parquet", "event_id bigint", max_files=1)
+    done = runs.run_available(stream, f"{root}/table", f"{root}/checkpoint", name="bronze")
+    return runs.progress(t.spark, [done]).filter("input_rows > 0").groupBy("name").agg(
+        F.sum("input_rows").alias("input_rows"), F.count("*").alias("batches"))
 
 
 # Incremental loads of files that Spark lands from the events table.
@@ -240,25 +251,126 @@ def autoload_rescue(t: Tables) -> DataFrame:
     return t.spark.read.schema(stream.schema).parquet(f"{root}/table")
 
 
-@query("copy_into", "SELECT event_id, user_id, value FROM events")
+@query("autoload_backfill", f"""
+SELECT event_id, user_id, event_type, CASE WHEN ts >= {MIDDLE} THEN value END AS value FROM events""")
+def autoload_backfill(t: Tables) -> DataFrame:
+    """Files that land later but keep old modification times, as copies do, still bring their new column."""
+    root = work_path(t.spark, "backfill")
+    early, late = halves(t)
+    for part, old in ((early.select(*LOADED), False), (late.select(*LOADED, "value"), True)):
+        part.write.json(f"{root}/aside-{old}")
+        move_files(t.spark, f"{root}/aside-{old}", f"{root}/landing", days_old=5 if old else 0)
+        stream = incremental.load_files(t.spark, f"{root}/landing", "json", f"{root}/schema", "addNewColumns")
+        runs.run_available(stream.drop("_source_file", "_load_time"), f"{root}/table", f"{root}/checkpoint")
+    return files.read_merged(t.spark, f"{root}/table", "event_id bigint, user_id bigint, event_type string, value double")
+
+
+def move_files(spark, source: str, target: str, days_old: int) -> None:
+    """Move data files into a landing folder, with modification times of some days ago."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path(target))
+    for status in system.listStatus(path(source)):
+        name = status.getPath().getName()
+        if name.startswith("part-"):
+            moved = path(f"{target}/{name}")
+            system.rename(status.getPath(), moved)
+            at = status.getModificationTime() - days_old * 86_400_000
+            system.setTimes(moved, at, at)
+
+
+@query("autoload_mistyped", f"""
+SELECT event_id, CASE WHEN ts < {MIDDLE} THEN user_id END AS user_id,
+       CASE WHEN ts >= {MIDDLE} THEN '{{"user_id":"u-' || user_id || '"}}' END AS _rescued_data FROM events""")
+def autoload_mistyped(t: Tables) -> DataFrame:
+    """A later value that does not fit the stored type is rescued while new columns are added."""
+    root = work_path(t.spark, "mistyped")
+    early, late = halves(t)
+    named = F.concat(F.lit("u-"), F.col("user_id").cast("string")).alias("user_id")
+    for part in (early.select("event_id", "user_id"), late.select("event_id", named)):
+        part.write.mode("append").json(f"{root}/landing")
+        stream = incremental.load_files(t.spark, f"{root}/landing", "json", f"{root}/schema", "addNewColumns")
+        stream = stream.select("event_id", "user_id", "_rescued_data")
+        runs.run_available(stream, f"{root}/table", f"{root}/checkpoint")
+    return t.spark.read.schema(stream.schema).parquet(f"{root}/table")
+
+
+@query("autoload_ignored_columns", "SELECT event_id, user_id, event_type FROM events")
+def autoload_ignored_columns(t: Tables) -> DataFrame:
+    root = work_path(t.spark, "ignored")
+    early, late = halves(t)
+    for part in (early.select(*LOADED), late.select(*LOADED, "value")):
+        part.write.mode("append").json(f"{root}/landing")
+        stream = incremental.load_files(t.spark, f"{root}/landing", "json", f"{root}/schema", "none").select(*LOADED)
+        runs.run_available(stream, f"{root}/table", f"{root}/checkpoint")
+    return t.spark.read.schema(stream.schema).parquet(f"{root}/table")
+
+
+@query("autoload_limited", """
+SELECT event_type, count(*) AS records, count(*) FILTER (WHERE value > 10) AS large FROM events GROUP BY 1""")
+def autoload_limited(t: Tables) -> DataFrame:
+    """Nested folders, a name pattern, and one file per batch."""
+    root = work_path(t.spark, "limited")
+    columns = ["event_type", "value"]
+    t.events.select(*columns).write.json(f"{root}/landing/a/b")
+    t.events.select(*columns).limit(5).write.option("header", True).csv(f"{root}/landing/a/other")
+    stream = incremental.load_files(t.spark, f"{root}/landing", "json", f"{root}/schema", "none", glob="*.json",
+                                    recursive=True, max_files=1)
+    loaded = sink_of(t, stream.select(*columns), "limited-out")
+    return loaded.groupBy("event_type").agg(F.count("*").alias("records"), F.count_if(F.col("value") > 10).alias("large"))
+
+
+@query("autoload_csv_layouts", """
+SELECT c_custkey, c_name, CASE WHEN c_custkey % 2 = 0 THEN c_acctbal END AS c_acctbal FROM customer""")
+def autoload_csv_layouts(t: Tables) -> DataFrame:
+    """CSV files of two layouts in one folder: one lacks the last column."""
+    root = work_path(t.spark, "csv-layouts")
+    short, long = t.customer.filter("c_custkey % 2 = 1"), t.customer.filter("c_custkey % 2 = 0")
+    for part in (short.select("c_custkey", "c_name"), long.select("c_custkey", "c_name", "c_acctbal")):
+        part.write.mode("append").option("header", True).csv(f"{root}/landing")
+    stream = incremental.load_files(t.spark, f"{root}/landing", "csv", f"{root}/schema", "addNewColumns")
+    stream = stream.select(F.col("c_custkey").cast("bigint"), "c_name", F.col("c_acctbal").cast("double"))
+    return sink_of(t, stream, "csv-layouts-out")
+
+
+@query("copy_into", "SELECT event_id, user_id, value, count(*) OVER () AS reported FROM events")
 def copy_into(t: Tables) -> DataFrame:
+    """More files than a query remembers batches, one per batch; the reported rows are those of all calls."""
     root = work_path(t.spark, "copy")
-    schema = "event_id bigint, user_id bigint, value double"
-    for half in halves(t):
-        half.select("event_id", "user_id", "value").write.mode("append").option("header", True).csv(f"{root}/landing")
-        incremental.copy_into(t.spark, f"{root}/landing", "csv", schema, f"{root}/table", f"{root}/checkpoint", header="true")
-    return t.spark.read.schema(schema).parquet(f"{root}/table")
+    schema, reported = "event_id bigint, user_id bigint, value double", 0
+    for half, n in zip(halves(t), (MANY_FILES, 2)):
+        half.select("event_id", "user_id", "value").repartitionByRange(n, "event_id").write.mode("append").option(
+            "header", True).csv(f"{root}/landing")
+        reported += incremental.copy_into(t.spark, f"{root}/landing", "csv", schema, f"{root}/table",
+                                          f"{root}/checkpoint", header="true", max_files=1)
+    return t.spark.read.schema(schema).parquet(f"{root}/table").withColumn("reported", F.lit(reported).cast("bigint"))
 
 
-@query("source_file_totals", """
-SELECT count(*) AS records, CAST(2 AS BIGINT) AS source_files FROM events""")
-def source_file_totals(t: Tables) -> DataFrame:
+def loaded_files(t: Tables) -> tuple[DataFrame, int]:
+    """Events loaded from files that were written in parallel, and the number of those files."""
     root = work_path(t.spark, "source-files")
     for half in halves(t):
-        half.select(*LOADED).coalesce(1).write.mode("append").json(f"{root}/landing")
+        half.select(*LOADED).write.mode("append").json(f"{root}/landing")
     stream = incremental.load_files(t.spark, f"{root}/landing", "json", f"{root}/schema", "none")
-    loaded = sink_of(t, stream, "source-files-out")
-    return metadata.source_file_totals(loaded, "_source_file")
+    listed = len(incremental.pending_files(t.spark, f"{root}/landing", f"{root}/never"))
+    return sink_of(t, stream, "source-files-out"), listed
+
+
+@query("source_file_totals", "SELECT count(*) AS records, true AS every_file FROM events")
+def source_file_totals(t: Tables) -> DataFrame:
+    loaded, listed = loaded_files(t)
+    return metadata.source_file_totals(loaded, "_source_file").select(
+        "records", (F.col("source_files") == listed).alias("every_file"))
+
+
+@query("source_file_counts", "SELECT count(*) AS records, true AS every_file, true AS all_timed FROM events")
+def source_file_counts(t: Tables) -> DataFrame:
+    """Rows and first load time per file, held against the listing."""
+    loaded, listed = loaded_files(t)
+    per_file = metadata.source_file_counts(loaded, "_source_file", "_load_time")
+    return per_file.agg(
+        F.sum("records").alias("records"), (F.count("*") == listed).alias("every_file"),
+        F.bool_and(F.col("first_load").isNotNull()).alias("all_timed"))
 
 
 @query("csv_permissive", "SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal >= 0")

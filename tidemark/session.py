@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,72 +25,86 @@ RUNTIME_CONF = {
 }
 
 _TARGET_PARTITION_BYTES = 256 * 1024 * 1024
-# Beyond this, the blocks of a shuffle (map tasks times partitions) cost more than larger partitions do.
-_MOST_PARTITIONS = 50_000
 
 
-def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
-    """Create (or get) a session with the runtime settings; ``conf`` wins over them."""
+def build_session(app: str = "tidemark", master: str | None = None, input_bytes: int = 0, **conf: str) -> SparkSession:
+    """Create (or get) a session with the runtime settings; ``conf`` wins over them.
+
+    ``input_bytes``, the size of the tables that its jobs read, sets the number of partitions with which shuffles
+    start; adaptive execution coalesces them to the data that really flows.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **conf}.items():
+    sized = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle_partitions(input_bytes, 1))}
+    for key, value in {**RUNTIME_CONF, **(sized if input_bytes else {}), **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
-def apply_runtime_conf(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
-    """Set the runtime settings that the launcher of this session left unset.
+@contextmanager
+def runtime_conf(spark: SparkSession) -> Iterator[None]:
+    """The runtime settings that the launcher of this session left unset, for the time of a block.
 
-    Without a launcher's choice, streams get one state partition per core, and
-    batch shuffles start with a number that fits the input, which adaptive
-    execution then coalesces to the data that really flows.
+    Time zones are fixed when a plan is made, and streams run to their end inside the block, so nothing is left behind
+    in the caller's session. Without a launcher's choice, streams get one state partition per core.
     """
     launched = spark.sparkContext.getConf()
-    for key, value in RUNTIME_CONF.items():
-        if key == "spark.sql.session.timeZone" or not launched.contains(key):
+    wanted = dict(RUNTIME_CONF)
+    if not launched.contains("spark.sql.shuffle.partitions") and spark.conf.get("spark.sql.shuffle.partitions") == "200":
+        wanted["spark.sql.shuffle.partitions"] = str(max(spark.sparkContext.defaultParallelism, 2))
+    changed = {}
+    for key, value in wanted.items():
+        before = spark.conf.get(key, None)
+        if not launched.contains(key) and before != value:
+            changed[key] = before
             spark.conf.set(key, value)
-    if not launched.contains("spark.sql.shuffle.partitions"):
-        cores = spark.sparkContext.defaultParallelism
-        if not spark.sparkContext.master.startswith("local"):
-            cores = max(cores, 200)  # executors may still be starting
-        spark.conf.set("spark.sql.shuffle.partitions", str(cores))
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
-                       str(shuffle_partitions(input_bytes, cores)))
-    return spark
+    try:
+        yield
+    finally:
+        for key, before in changed.items():
+            spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def shuffle_partitions(input_bytes: int, cores: int) -> int:
     """Shuffle partitions of about 256 MB each, at least one per core."""
-    return min(max(cores, -(-input_bytes // _TARGET_PARTITION_BYTES)), max(cores, _MOST_PARTITIONS))
+    return max(cores, -(-input_bytes // _TARGET_PARTITION_BYTES))
 
 
-def folder_bytes(spark: SparkSession, path: str) -> int:
-    """Total length of the files below a folder (file system metadata only)."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    file_system = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    return file_system.getContentSummary(target).getLength()
+_folders: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder for checkpoints and written tables that all executors can reach.
 
-    It is the session's ``spark.checkpoint.dir``. Only a local session may go
-    without one; it then gets a temporary folder of its own.
+    It is the session's ``spark.checkpoint.dir``, else a folder in the launcher's warehouse.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    own = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    return (configured or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work").rstrip("/")
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder; what is written there is deleted when the program ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if not _folders:
+        atexit.register(delete_work_folders, spark)
+    _folders.add(path)
+    return path
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system the path names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def delete_work_folders(spark: SparkSession) -> None:
+    """Delete what ``work_path`` gave out, while the session still runs."""
+    if spark.sparkContext._jsc is None:
+        return
+    for path in list(_folders):
+        delete_folder(spark, path)
+        _folders.discard(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

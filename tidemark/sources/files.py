@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tidemark.session import shared_dir
+
 CORRUPT = "_corrupt_record"
 
 
@@ -61,14 +63,12 @@ def without_audit(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("_")])
 
 
-def export(df: DataFrame, path: str, fmt: str, single_file: bool = False, max_rows: int = 1_000_000, **options) -> None:
+def export(df: DataFrame, path: str, fmt: str, single_file: bool = False, **options) -> None:
     """Write CSV or JSON files.
 
-    One file means one task, so ``single_file`` is refused above ``max_rows``.
+    ``single_file`` writes through one task: choose it for small results only.
     """
     if single_file:
-        if df.limit(max_rows + 1).count() > max_rows:
-            raise ValueError(f"more than {max_rows} rows do not belong in one file")
         df = df.coalesce(1)
     df.write.mode("overwrite").format(fmt).options(**({"header": True} if fmt == "csv" else {}), **options).save(path)
 
@@ -79,8 +79,9 @@ def append(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None
 
 
 def create_table(df: DataFrame, name: str, replace: bool = True) -> None:
-    """CREATE [OR REPLACE] TABLE ... AS SELECT."""
-    df.write.mode("overwrite" if replace else "error").saveAsTable(name)
+    """CREATE [OR REPLACE] TABLE ... AS SELECT, stored in the shared folder."""
+    location = f"{shared_dir(df.sparkSession)}/tables/{name}"
+    df.write.mode("overwrite" if replace else "error").option("path", location).saveAsTable(name)
 
 
 def read_merged(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:

@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import csv
-from datetime import datetime, timedelta, timezone
+from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampNTZType, TimestampType
 
 from tidemark.session import path_exists
 from tidemark.sources.schemas import evolve, store_schema, stored_schema, union_schema
+from tidemark.streaming import runs
 
 RESCUED = "_rescued_data"
 
@@ -20,21 +20,36 @@ class MixedLayout(ValueError):
     """CSV files whose headers disagree about the position of a column."""
 
 
-def csv_headers(spark: SparkSession, path: str, modified_after: str | None = None) -> DataFrame:
-    """The header line of every CSV file below a folder.
+def pending_files(spark: SparkSession, path: str, location: str, glob: str | None = None,
+                  recursive: bool = False) -> list[str]:
+    """The files below a folder whose schema no earlier load has looked at, whatever their modification times.
 
-    The first block of a file is read by one task from top to bottom, so the
-    first line it meets is the header.
+    Like the listing of a file stream this is a list on the driver, of new files only.
     """
-    lines = spark.read.options(**_arrived_after(modified_after)).text(path)
-    return lines.filter(F.col("_metadata.file_block_start") == 0).groupBy(
-        F.col("_metadata.file_path").alias("file")).agg(F.first("value").alias("header"))
+    options = {"pathGlobFilter": glob} if glob else {}
+    listed = spark.read.format("binaryFile").options(recursiveFileLookup=recursive, **options).load(path).select("path")
+    if path_exists(spark, _seen(location)):
+        listed = listed.join(spark.read.schema("path string").parquet(_seen(location)), "path", "left_anti")
+    return sorted(r.path for r in listed.collect())
 
 
-def csv_layouts(spark: SparkSession, path: str, modified_after: str | None = None) -> list[list[str]]:
+def _seen(location: str) -> str:
+    return f"{location}/_files"
+
+
+def csv_headers(spark: SparkSession, files: list[str]) -> dict[str, str]:
+    """The header line of each CSV file, read in one pass: the line of smallest position in the file's first block."""
+    if not files:
+        return {}
+    lines = spark.read.text(files).filter(F.col("_metadata.file_block_start") == 0).select(
+        F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("place"))
+    found = lines.groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    return {r.file: r.header for r in found.collect()}
+
+
+def csv_layouts(headers: Iterable[str]) -> list[list[str]]:
     """The distinct headers, longest first: one entry per layout, however many files there are."""
-    found = csv_headers(spark, path, modified_after).select("header").distinct().collect()
-    return sorted((next(csv.reader([r.header])) for r in found), key=lambda names: (-len(names), names))
+    return sorted((next(csv.reader([h])) for h in set(headers)), key=lambda names: (-len(names), names))
 
 
 def csv_names(schema_names: list[str], layouts: list[list[str]]) -> list[str]:
@@ -52,60 +67,47 @@ def csv_names(schema_names: list[str], layouts: list[list[str]]) -> list[str]:
     return names
 
 
-def _arrived_after(modified_after: str | None) -> dict[str, str]:
-    return {"modifiedAfter": modified_after} if modified_after else {}
-
-
-def infer_schema(spark: SparkSession, path: str, fmt: str, modified_after: str | None = None, **options) -> StructType:
-    """Schema of the pending files.
-
-    ``modified_after`` (an ISO time) limits the scan to files that arrived since
-    the last load, so the cost follows the new data and not the whole folder.
-    CSV files of several layouts are inferred per layout, as Spark takes the
-    header of one file for all.
-    """
-    reader = spark.read.format(fmt).options(**options, **_arrived_after(modified_after))
+def infer_schema(spark: SparkSession, files: list[str], fmt: str, headers: dict[str, str] | None = None,
+                 **options) -> StructType:
+    """Schema of some files. CSV files are inferred per layout (``headers``: header by file), as Spark takes the header
+    of one file for all."""
+    reader = spark.read.format(fmt).options(**options)
     if fmt != "csv":
-        return reader.load(path).schema
+        return reader.load(files).schema
     reader = reader.option("header", True).option("inferSchema", True)
-    layouts = csv_layouts(spark, path, modified_after)
-    if len(layouts) < 2:
-        return reader.load(path).schema
-    by_file = csv_headers(spark, path, modified_after)
     found = None
-    for (header,) in by_file.select("header").distinct().orderBy("header").collect():
-        files = [r.file for r in by_file.filter(F.col("header") == header).select("file").collect()]
-        one = reader.load(files).schema
+    for header in sorted(set(headers.values())):
+        one = reader.load([f for f, h in headers.items() if h == header]).schema
         found = one if found is None else union_schema(found, one)
     types = {f.name: f for f in found.fields}
-    return StructType([types[n] for n in csv_names([], layouts)])
+    return StructType([types[n] for n in csv_names([], csv_layouts(headers.values()))])
 
 
-def prepare_schema(spark: SparkSession, path: str, fmt: str, location: str, mode: str,
-                   overlap: timedelta = timedelta(days=1), **options) -> tuple[StructType, list[str]]:
+def prepare_schema(spark: SparkSession, path: str, fmt: str, location: str, mode: str, glob: str | None = None,
+                   recursive: bool = False, **options) -> tuple[StructType, list[str]]:
     """Infer, compare with the stored schema, and store it.
 
     Returns the schema of the next load and the column names by position in the
     files (which for CSV may go on beyond the schema). A stream's schema is
-    fixed when it starts, so this runs before each start. Only files that
-    arrived since the last load (less ``overlap``, for clocks that differ) are
-    scanned, so the cost follows the new data.
+    fixed when it starts, so this runs before each start. Exactly the files that
+    no earlier load has seen are scanned, so the cost follows the new data.
     """
-    stored, loaded_at = stored_schema(spark, location)
+    stored, stored_names = stored_schema(spark, location)
     fixed = stored is not None and mode in ("rescue", "none")
     if fixed and fmt != "csv":
         return stored, stored.names
-    started = datetime.now(timezone.utc)
-    since = loaded_at and (loaded_at - overlap).strftime("%Y-%m-%dT%H:%M:%S")
-    try:
-        found = stored if fixed else infer_schema(spark, path, fmt, since, **options)
-    except AnalysisException as error:
-        if stored is None or error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-            raise
-        found = stored  # no file arrived
+    pending = pending_files(spark, path, location, glob, recursive)
+    if not pending:
+        if stored is None:
+            raise FileNotFoundError(f"no file in {path}: the schema can't be inferred")
+        return stored, stored_names
+    headers = csv_headers(spark, pending) if fmt == "csv" else {}
+    found = stored if fixed else infer_schema(spark, pending, fmt, headers, **options)
     schema = evolve(stored, found, mode)
-    names = csv_names(schema.names, csv_layouts(spark, path, since)) if fmt == "csv" else schema.names
-    store_schema(spark, location, schema, started)
+    names = csv_names([*schema.names, *[n for n in stored_names if n not in schema.names]],
+                      csv_layouts(headers.values())) if fmt == "csv" else schema.names
+    store_schema(spark, location, schema, names)
+    spark.createDataFrame([(p,) for p in pending], "path string").coalesce(1).write.mode("append").parquet(_seen(location))
     return schema, names
 
 
@@ -178,32 +180,36 @@ def table_stream(spark: SparkSession, path: str, schema: StructType | str, **opt
     return file_stream(spark, path, "parquet", schema, **options)
 
 
-def load_files(spark: SparkSession, path: str, fmt: str, registry: str, evolution: str, **options) -> DataFrame:
+def load_files(spark: SparkSession, path: str, fmt: str, registry: str, evolution: str, glob: str | None = None,
+               recursive: bool = False, max_files: int | None = None, max_bytes: str | None = None,
+               **options) -> DataFrame:
     """Streaming read of a landing folder under a stored, evolving schema.
 
     ``evolution`` is addNewColumns, rescue, failOnNewColumns or none. Adds
-    ``_source_file`` and ``_load_time``, and ``_rescued_data`` in rescue mode.
+    ``_source_file`` and ``_load_time``. For JSON lines and CSV every mode but
+    none adds ``_rescued_data``: fields the schema lacks and values that do not
+    fit their type; none ignores the former and reads the latter as NULL.
     """
-    schema, names = prepare_schema(spark, path, fmt, registry, evolution)
+    schema, names = prepare_schema(spark, path, fmt, registry, evolution, glob, recursive, **options)
     provenance = {"_source_file": F.col("_metadata.file_path"), "_load_time": F.current_timestamp()}
-    if evolution != "rescue":
+    limits = {"glob": glob, "recursive": recursive, "max_files": max_files, "max_bytes": max_bytes}
+    lines_only = fmt == "json" and str(options.get("multiLine", "false")).lower() != "true"
+    if evolution == "none" or not (lines_only or fmt == "csv"):
+        if evolution == "rescue":
+            raise ValueError(f"rescue mode reads json lines and csv, not {fmt}")
         header = {"header": "true"} if fmt == "csv" else {}
-        return file_stream(spark, path, fmt, schema, **header, **options).withColumns(provenance)
+        return file_stream(spark, path, fmt, schema, **limits, **header, **options).withColumns(provenance)
     if fmt == "json":
-        lines = file_stream(spark, path, "text", "value string", **options).withColumns(provenance)
+        lines = file_stream(spark, path, "text", "value string", **limits, **options).withColumns(provenance)
         return rescue_json(lines, schema)
-    if fmt == "csv":
-        texts = StructType([StructField(n, StringType(), True) for n in names])
-        stream = file_stream(spark, path, "csv", texts, header="true", **options)
-        return rescue_columns(stream.withColumns(provenance), schema)
-    raise ValueError(f"rescue mode reads json and csv, not {fmt}")
+    texts = StructType([StructField(n, StringType(), True) for n in names])
+    stream = file_stream(spark, path, "csv", texts, **limits, header="true", **options)
+    return rescue_columns(stream.withColumns(provenance), schema)
 
 
 def copy_into(spark: SparkSession, path: str, fmt: str, schema: StructType | str, target: str, checkpoint: str,
               **options) -> int:
     """Load the files that no earlier call with this checkpoint has loaded; returns the rows loaded."""
     stream = file_stream(spark, path, fmt, schema, **options).withColumn("_source_file", F.col("_metadata.file_path"))
-    run = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).option(
-        "path", target).outputMode("append").trigger(availableNow=True).start()
-    run.awaitTermination()
-    return sum(p.numInputRows for p in run.recentProgress)
+    run = runs.run_available(stream, target, checkpoint)
+    return sum(rows for _, _, rows, *_ in runs.batch_log(spark).of(run))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 from pyspark.sql.types import (DataType, DecimalType, DoubleType, FloatType, IntegerType, LongType, NullType,
@@ -17,24 +17,25 @@ MODES = ("addNewColumns", "rescue", "failOnNewColumns", "none")
 _WIDENING = (IntegerType(), LongType(), FloatType(), DoubleType())
 
 
-_ENTRY = "schema_json string, inferred_at string"
+_ENTRY = "schema_json string, names_json string, inferred_at string"
 
 
 class NewColumns(ValueError):
     """The files have fields that the stored schema lacks."""
 
 
-def stored_schema(spark: SparkSession, location: str) -> tuple[StructType | None, datetime | None]:
-    """The newest stored schema and the time of its inference; (None, None) before the first load."""
+def stored_schema(spark: SparkSession, location: str) -> tuple[StructType | None, list[str]]:
+    """The newest stored schema and the column names by position in the files; (None, []) before the first load."""
     if not path_exists(spark, location):
-        return None, None
+        return None, []
     newest = spark.read.schema(_ENTRY).json(location).orderBy("inferred_at", ascending=False).first()
-    return StructType.fromJson(json.loads(newest.schema_json)), datetime.fromisoformat(newest.inferred_at)
+    return StructType.fromJson(json.loads(newest.schema_json)), json.loads(newest.names_json)
 
 
-def store_schema(spark: SparkSession, location: str, schema: StructType, inferred_at: datetime) -> None:
+def store_schema(spark: SparkSession, location: str, schema: StructType, names: list[str]) -> None:
     """Append an entry; an interrupted write leaves the entry before it in force."""
-    row = [(schema.json(), inferred_at.isoformat(timespec="microseconds"))]
+    at = datetime.now(timezone.utc).isoformat(timespec="microseconds")
+    row = [(schema.json(), json.dumps(names), at)]
     spark.createDataFrame(row, _ENTRY).coalesce(1).write.mode("append").json(location)
 
 

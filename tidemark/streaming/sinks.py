@@ -10,9 +10,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import deltalog, snapshots
 from tidemark.operators.changes import DELETED, SEQUENCE, change_events
+from tidemark.session import path_exists
 from tidemark.streaming.runs import with_trigger
 
 
+_GENERATIONS = "query string, generation bigint"
+
+
 def _run(df: DataFrame, mode: str, checkpoint: str, handler, trigger: str | None, name: str | None) -> StreamingQuery:
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(handler)
     if name:
@@ -28,6 +32,18 @@ def _batch_key(batch: DataFrame, batch_id: int) -> str:
     return f"{batch.sparkSession.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id}"
 
 
+def _generation(batch: DataFrame, table: str) -> int:
+    """The number of this query among those that wrote the table; a query keeps its id with its checkpoint."""
+    spark, path = batch.sparkSession, f"{table}/generations"
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    known = {r.query: r.generation for r in spark.read.schema(_GENERATIONS).parquet(path).collect()} if path_exists(
+        spark, path) else {}
+    if query not in known:
+        known[query] = max(known.values(), default=-1) + 1
+        spark.createDataFrame([(query, known[query])], _GENERATIONS).coalesce(1).write.mode("append").parquet(path)
+    return known[query]
+
+
 def complete_sink(df: DataFrame, table: str, checkpoint: str, trigger: str | None = "available_now",
                   name: str | None = None) -> StreamingQuery:
     """Complete mode into a versioned table: every batch is the whole result and becomes a version."""
@@ -42,11 +58,14 @@ def update_sink(df: DataFrame, table: str, checkpoint: str, trigger: str | None
                 name: str | None = None) -> StreamingQuery:
     """Update mode into a delta log: only the changed groups of a batch are written.
 
-    Read it with ``deltalog.read_log`` and ``changes.merge_latest``; the batch id is the sequence.
+    Read it with ``deltalog.read_log`` and ``changes.merge_latest``. The sequence is the generation of the checkpoint
+    and the batch id: a new checkpoint computes its totals afresh, and they replace those of the one before.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumns({SEQUENCE: F.struct(F.lit(batch_id).cast("bigint").alias("batch")),
+        generation = _generation(batch, table)
+        rows = batch.withColumns({SEQUENCE: F.struct(F.lit(generation).cast("bigint").alias("generation"),
+                                                     F.lit(batch_id).cast("bigint").alias("batch")),
                                   DELETED: F.lit(False)})
         deltalog.append_log(rows, table, _batch_key(batch, batch_id))
 
