@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import TwoGenerations, in_fold, map_texts, table
+from tidemark.llm.common import TwoGenerations, cut, in_fold, map_texts, table
 
 #: Windows longer than this train no dictionary (they are scored like any other).
 LONGEST_SAMPLE = 256
@@ -54,14 +54,15 @@ def grams(window: bytes, lengths: tuple) -> set[bytes]:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, part: int) -> DataFrame:
-    """Columns y and text of one bounded part of the labelled documents."""
+    """Columns y and text of one bounded part of the labelled documents, written once for all passes over it."""
     rank = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("_id"), "_id"))
     chosen = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long").alias("_id"), F.col(label).cast("int").alias("y")).distinct()
     chosen = chosen.withColumn("rank", rank).where(F.col("rank") <= 2 * per_class).where(
         (F.col("rank") - 1) % 2 == part).select("_id", "y")
-    return docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("binary").alias("text")).join(
-        chosen, "_id").select("y", "text")
+    # at most 2 * per_class ids of 16 bytes: a bound set by a parameter, so the texts need no shuffle
+    return cut(docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("binary").alias("text")).join(
+        F.broadcast(chosen), "_id").select("y", "text"))
 
 
 def _gram_docs(sample: DataFrame, setup: Setup) -> DataFrame:
@@ -89,7 +90,7 @@ def _window_samples(sample: DataFrame, y: int, chosen: set | None, setup: Setup)
     import pyarrow as pa
     shared = sample.sparkSession.sparkContext.broadcast(chosen)
 
-    def cut(batches):
+    def run(batches):
         for batch in batches:
             out = []
             for text in batch.column(0).to_pylist():
@@ -99,7 +100,7 @@ def _window_samples(sample: DataFrame, y: int, chosen: set | None, setup: Setup)
                         out.append(b" " + w + b" ")
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["w"])
 
-    found = sample.where(F.col("y") == y).select("text").mapInArrow(cut, "w binary")
+    found = sample.where(F.col("y") == y).select("text").mapInArrow(run, "w binary")
     counted = found.groupBy("w").agg(F.count("*").alias("n")).orderBy(F.xxhash64("w"), "w").limit(setup.most_samples)
     rows = counted.collect()
     room = max(1, setup.most_samples // max(1, len(rows)))
