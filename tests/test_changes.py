@@ -225,3 +225,22 @@ def test_precombine_and_merge_on_read(spark, rows, path):
 def test_pull_between_is_half_open(spark, rows):
     df = spark.createDataFrame([(1, 10), (2, 20), (3, 30)], "id int, _commit_time int")
     assert rows(deltalog.pull_between(df, 10, 30), "id") == [(2,), (3,)]
+
+
+def test_only_touched_buckets_are_rewritten(spark, rows, path):
+    from tidemark.operators import buckets, metadata
+
+    def files():
+        return {r.path for r in metadata.file_sizes(spark, path + "/t").collect() if r.path.endswith(".parquet")}
+
+    merge = lambda state, batch: changes.apply_cdc(state, batch, ["k"], ["ts"])
+    first = frame(spark, [(c, 1, 1) for c in "abcdefghij"])
+    assert len(buckets.apply_batch(spark, path + "/t", first, ["k"], 8, merge)) > 2
+    before = files()
+    batch = frame(spark, [("b", 20, 2)])
+    touched = buckets.apply_batch(spark, path + "/t", batch, ["k"], 8, merge)
+    assert len(touched) == 1
+    changed = before ^ files()
+    assert changed and all(f"/__bucket={touched[0]}/" in f for f in changed)
+    state = buckets.read_state(spark, path + "/t", spark.read.parquet(path + "/t").drop("__bucket").schema)
+    assert rows(changes.live_rows(state), "k", "v") == sorted([("b", 20), *[(c, 1) for c in "acdefghij"]])

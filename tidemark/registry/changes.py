@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.money import amount, cents, share_of
-from tidemark.operators import changes, deltalog, history, snapshots
+from tidemark.operators import buckets, changes, deltalog, history, snapshots
 from tidemark.operators.dedup import latest_per_key
 from tidemark.plans.tables import Tables
 from tidemark.registry.core import query
@@ -112,21 +112,25 @@ def event_halves(t: Tables) -> list[DataFrame]:
     return [t.events.filter(F.col("ts") >= middle), t.events.filter(F.col("ts") < middle)]
 
 
+#: Buckets of the state tables; a batch of all users touches all of them, a small one a few.
+BUCKETS = 16
+
+
 def user_state(t: Tables) -> DataFrame:
-    state = None
+    path = work_path(t.spark, "user-state")
     for half in event_halves(t):
-        state = changes.apply_cdc(state, half, ["user_id"], ["ts", "event_id"], F.col("event_type") == "error")
-        state = stored(state, "user-state")  # each batch starts from the written table
-    return state
+        buckets.apply_batch(t.spark, path, half, ["user_id"], BUCKETS, lambda state, batch: changes.apply_cdc(
+            state, batch, ["user_id"], ["ts", "event_id"], F.col("event_type") == "error"))
+    return buckets.read_state(t.spark, path, t.spark.read.parquet(path).drop(buckets.BUCKET).schema)
 
 
 def user_history(t: Tables) -> DataFrame:
-    rows = None
+    path = work_path(t.spark, "user-history")
     for half in event_halves(t):
-        rows = history.apply_scd2(rows, half.drop("props"), ["user_id"], ["ts", "event_id"],
-                                  F.date_trunc("hour", F.col("__sequence.ts")), F.col("event_type") == "error")
-        rows = stored(rows, "user-history")
-    return rows
+        buckets.apply_batch(t.spark, path, half.drop("props"), ["user_id"], BUCKETS, lambda rows, batch: history.apply_scd2(
+            rows, batch, ["user_id"], ["ts", "event_id"], F.date_trunc("hour", F.col("__sequence.ts")),
+            F.col("event_type") == "error"))
+    return buckets.read_state(t.spark, path, t.spark.read.parquet(path).drop(buckets.BUCKET).schema)
 
 
 @query("scd1_state", """
