@@ -7,8 +7,10 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 #: Stands for a null doc_id wherever documents are ordered or joined: null is the smallest id.
 NULL_ID = -(1 << 63)
@@ -39,7 +41,7 @@ def map_texts(
     keep = {"doc_id": F.col("doc_id").cast("long")} if keep is None else keep
     source = docs.select(*[c.alias(n) for n, c in keep.items()], F.col(text).cast("binary").alias("_text"))
     out = source.drop("_text").schema
-    for field in DataFrameSchema(schema):
+    for field in StructType.fromDDL(schema).fields:
         out = out.add(field)
     names = list(keep)
     arrow_types = _arrow_types(out)
@@ -57,13 +59,7 @@ def map_texts(
     return source.mapInArrow(run, out)
 
 
-def DataFrameSchema(ddl: str):
-    from pyspark.sql.types import StructType
-    return StructType.fromDDL(ddl).fields
-
-
-def _arrow_types(schema) -> dict[str, pa.DataType]:
-    from pyspark.sql.pandas.types import to_arrow_type
+def _arrow_types(schema: StructType) -> dict[str, pa.DataType]:
     return {f.name: to_arrow_type(f.dataType) for f in schema.fields}
 
 
@@ -144,3 +140,18 @@ def splittable(right: DataFrame, key: str) -> DataFrame:
 
 def splittable_on(left: DataFrame, key: str) -> Column:
     return (F.xxhash64(left[key]) == F.col("_right_hash")) & (left[key] == F.col("_right_key"))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, part: int) -> DataFrame:
+    """Columns y and text of part 0 or 1 of the labelled documents of smallest id hash, ``per_class`` of each label.
+
+    Labels other than 0 and 1 are left out. The rows are written once for all passes over them.
+    """
+    rank = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("_id"), "_id"))
+    chosen = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select(
+        F.col("doc_id").cast("long").alias("_id"), F.col(label).cast("int").alias("y")).distinct()
+    chosen = chosen.withColumn("rank", rank).where(F.col("rank") <= 2 * per_class).where(
+        (F.col("rank") - 1) % 2 == part).select("_id", "y")
+    # at most 2 * per_class ids of 16 bytes: a bound set by a parameter, so the texts need no shuffle
+    return cut(docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("binary").alias("text")).join(
+        F.broadcast(chosen), "_id").select("y", "text"))

@@ -21,8 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import TwoGenerations, in_fold, map_texts, table
-from tidemark.llm.toxicity import _sample
+from tidemark.llm.common import TwoGenerations, in_fold, labelled_sample, map_texts, table
 
 _RULES = [(re.compile(p), r) for p, r in (
     ("[^\\W\\d_]", lambda m: "X" if m[0].isupper() else "x"), ("\\d", "9"), ("(.)\\1+", "\\1"))]
@@ -142,7 +141,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", setup: Set
     counts = {r.y: r.n for r in labels.where(F.col(label).isin(0, 1)).groupBy(
         F.col(label).cast("int").alias("y")).agg(F.count("*").alias("n")).collect()}
     share = counts.get(1, 0) / sum(counts.values()) if counts else 1.0
-    sample = _sample(docs, labels, label, setup.docs_per_class, 0)
+    sample = labelled_sample(docs, labels, label, setup.docs_per_class, 0)
     rows = _bags(sample, setup, {"y": F.col("y")}).collect() if len(counts) == 2 else []
     y = np.array([r.y for r in rows], float)
     if len(set(y)) < 2:

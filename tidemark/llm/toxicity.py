@@ -19,10 +19,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import TwoGenerations, cut, in_fold, map_texts, table
+from tidemark.llm.common import TwoGenerations, in_fold, labelled_sample, map_texts, table
 
 #: Windows longer than this train no dictionary (they are scored like any other).
 LONGEST_SAMPLE = 256
@@ -53,18 +53,6 @@ def grams(window: bytes, lengths: tuple) -> set[bytes]:
     return {marked[i:i + n] for n in lengths for i in range(len(marked) - n + 1)}
 
 
-def _sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, part: int) -> DataFrame:
-    """Columns y and text of one bounded part of the labelled documents, written once for all passes over it."""
-    rank = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("_id"), "_id"))
-    chosen = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").cast("long").alias("_id"), F.col(label).cast("int").alias("y")).distinct()
-    chosen = chosen.withColumn("rank", rank).where(F.col("rank") <= 2 * per_class).where(
-        (F.col("rank") - 1) % 2 == part).select("_id", "y")
-    # at most 2 * per_class ids of 16 bytes: a bound set by a parameter, so the texts need no shuffle
-    return cut(docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("binary").alias("text")).join(
-        F.broadcast(chosen), "_id").select("y", "text"))
-
-
 def _gram_docs(sample: DataFrame, setup: Setup) -> DataFrame:
     """Documents per class that hold each n-gram of a window."""
     import pyarrow as pa
@@ -171,7 +159,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", setup: Setup
     counts = {r.y: r.n for r in labels.where(F.col(label).isin(0, 1)).groupBy(
         F.col(label).cast("int").alias("y")).agg(F.count("*").alias("n")).collect()}
     share = counts.get(1, 0) / max(1, sum(counts.values()))
-    first = _sample(docs, labels, label, setup.docs_per_class, 0)
+    first = labelled_sample(docs, labels, label, setup.docs_per_class, 0)
     held = {r.y: r.n for r in first.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not (held.get(0) and held.get(1)):
         return {"share": share}
@@ -183,7 +171,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", setup: Setup
     ordinary = train_dictionary(_window_samples(first, 0, None, setup), setup)
     toxic = train_dictionary(_window_samples(first, 1, chosen, setup), setup)
     model = {"ordinary": ordinary, "toxic": toxic, "level": setup.level, "words": setup.window_words, "share": share}
-    second = _sample(docs, labels, label, setup.docs_per_class, 1)
+    second = labelled_sample(docs, labels, label, setup.docs_per_class, 1)
     rows = [r for r in _features(second, model, {"y": F.col("y")}).collect()]
     y = np.array([r.y for r in rows], float)
     if not len(set(y)) == 2:
