@@ -60,7 +60,8 @@ def learn(docs: DataFrame, size: ModelSize = ModelSize()) -> dict:
     chosen = labelled.select("doc_id", "lang").distinct().withColumn("rank", F.row_number().over(
         Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))).where(
         F.col("rank") <= size.docs_per_lang).select("doc_id", "lang")
-    sample = labelled.join(chosen, ["doc_id", "lang"], "left_semi").select(
+    # docs_per_lang ids per language: a bound set by a parameter, so the texts need no shuffle
+    sample = labelled.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").select(
         F.col("lang"), F.col("text").cast("binary").alias("text"))
 
     def count(batches):
@@ -99,42 +100,53 @@ def build(rows: list[tuple], longest: int) -> dict:
 
 
 class Scorer:
-    """Evidence per language of text parts without ASCII white space, cached as rows of one growing matrix."""
-
-    def __init__(self, model: dict, most_cached: int = 200_000, scale: float = 6.0):
-        self.model, self.scale = model, scale
-        self.chunk = TwoGenerations(self._chunk, most_cached)
-
-    def _word(self, word: str) -> np.ndarray:
-        index, logs = self.model["grams"][0]
+    """Evidence per language of text parts without ASCII white space, remembered as rows of one matrix."""
+
+    def __init__(self, model: dict, most_cached: int = 400_000, scale: float = 6.0):
+        self.langs, self.scale, self.most = model["langs"], scale, most_cached
+        self.tables = [(index, logs.tolist()) for index, logs in model["grams"]]
+        self.none = [0.0] * len(self.langs)
+        self.word = TwoGenerations(self._word, most_cached)
+        self.index: dict[bytes, int] = {}
+        self.rows = np.zeros((1 << 16, len(self.langs) + 1))
+
+    def _word(self, word: str) -> list[float]:
+        index, logs = self.tables[0]
         if (i := index.get(word)) is not None:
             return logs[i]
         marked = f"^{word}$"
-        for n in range(len(self.model["grams"]) - 1, 0, -1):
-            index, logs = self.model["grams"][n]
-            known = [j for i in range(len(marked) - n + 1) if (j := index.get(marked[i:i + n])) is not None]
+        for n in range(len(self.tables) - 1, 0, -1):
+            index, logs = self.tables[n]
+            known = [logs[j] for i in range(len(marked) - n + 1) if (j := index.get(marked[i:i + n])) is not None]
             if known:
-                return logs[known].mean(axis=0)
-        return np.zeros(len(self.model["langs"]))
-
-    def _chunk(self, chunk: bytes) -> tuple:
-        words = word_letters(chunk.decode("utf-8", "replace"))
-        total = sum((self._word(w) for w in words), np.zeros(len(self.model["langs"])))
-        return len(words), *total.tolist()
+                return known[0] if len(known) == 1 else [sum(v) / len(known) for v in zip(*known)]
+        return self.none
+
+    def _add(self, chunk: bytes) -> None:
+        found = list(map(self.word, word_letters(chunk.decode("utf-8", "replace"))))
+        at = len(self.index)
+        if at == len(self.rows):
+            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+        self.rows[at, 0] = len(found)
+        self.rows[at, 1:] = found[0] if len(found) == 1 else [sum(v) for v in zip(*found)] if found else self.none
+        self.index[chunk] = at
 
     def predict(self, text: bytes | None) -> tuple[str, float]:
-        langs = self.model["langs"]
-        if not langs or not text:
+        words = (text or b"").split()
+        if not words or not self.langs:
             return UNDETERMINED, 0.0
-        rows = np.fromiter((v for c in text.split() for v in self.chunk(c)), np.float64).reshape(-1, len(langs) + 1)
-        totals = rows.sum(axis=0)
-        words = totals[0]
-        if not words:
+        if len(self.index) > self.most:
+            self.index.clear()
+        for chunk in set(words).difference(self.index):
+            self._add(chunk)
+        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        totals = self.rows.take(at, axis=0).sum(axis=0)
+        if not totals[0]:
             return UNDETERMINED, 0.0
-        mean = totals[1:] / words * self.scale * min(words, 20.0) ** 0.5
+        mean = totals[1:] / totals[0] * self.scale * min(totals[0], 20.0) ** 0.5
         odds = np.exp(mean - mean.max())
         best = int(np.argmax(mean))
-        return langs[best], float(odds[best] / odds.sum())
+        return self.langs[best], float(odds[best] / odds.sum())
 
 
 def identify(docs: DataFrame, model: dict, keep: dict[str, Column] | None = None) -> DataFrame:
