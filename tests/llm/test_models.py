@@ -153,3 +153,19 @@ def test_contamination_with_edits(spark, benchmark, edge, no_docs):
     assert decontaminate.clean_documents(edge, benchmark).count() == 10
     assert decontaminate.contaminated(no_docs, benchmark).count() == 0
     assert decontaminate.contaminated(docs, benchmark.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("copies", [0, 1, 30])
+@pytest.mark.parametrize("every", [4, 5, 6])
+def test_contamination_with_regular_edits_beside_exact_copies(spark, copies, every):
+    items = [[f"i{size}w{k}" for k in range(size)] for size in (20, 40, 80)]
+    benchmark = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    rows = [(100 + k, "p q r " + " ".join("new" if i % every == every - 1 else w for i, w in enumerate(words)) + " s t")
+            for k, words in enumerate(items)]
+    rows += [(1000 + k * 100 + c, " ".join(words)) for k, words in enumerate(items) for c in range(copies)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in decontaminate.contaminated(docs, benchmark).collect()}
+    assert set(got) == {(100 + k, k) for k in range(3)} | {(1000 + k * 100 + c, k) for k in range(3) for c in range(copies)}
+    for k, words in enumerate(items):
+        text = next(t for i, t in rows if i == 100 + k).split()
+        assert got[100 + k, k] == brute_alignment(words, text) / (2 * len(words))

@@ -1,14 +1,14 @@
-"""Benchmark decontamination: rare n-gram seeds find passages, Smith-Waterman alignment scores them.
+"""Benchmark decontamination: n-gram seeds find passages, Smith-Waterman alignment scores them.
 
-Words are compared in lower case without ASCII punctuation. Every n-gram of the benchmark gets its document frequency
-over the whole corpus; of every ``span`` consecutive n-grams of an item the rarest is a seed, so each part of each item
-keeps a seed however often it was copied. Documents that hold a seed are aligned with the item around it: local
-alignment of words with linear gaps, so edited and rearranged words cost points but don't hide the copy. A document and
-an item are linked if the best alignment reaches ``min_score`` of the item's perfect score.
+Words are compared in lower case without ASCII punctuation. Every n-gram of an item is a seed, however often the corpus
+holds it: one that an edit left whole is enough. Documents that hold a seed are aligned with the item around it, unless
+too few of the item's words occur there to reach the score: local alignment of words with linear gaps, so edited and
+rearranged words cost points but don't hide the copy. A document and an item are linked if the best alignment reaches
+``min_score`` of the item's perfect score. A copy in which no n consecutive words are left whole has no seed.
 
 The benchmark is a stated query set and is held against all documents in blocks of at most ``block_words`` words, each
 broadcast (its size is bounded by that parameter; an item longer than a block is a block of its own). Nothing is
-shuffled but one count per n-gram and task.
+shuffled.
 
 Items with fewer than ``n`` words (null and empty ones too) are too short to tell and link to nothing; null and empty
 documents link to nothing. Rows with the same item_id are one item with several texts; the best counts. Repeated
@@ -34,7 +34,6 @@ _LOWER = bytes(range(256)).lower()
 @dataclass(frozen=True)
 class Setup:
     n: int = 3
-    span: int = 4
     match: int = 2
     mismatch: int = -1
     gap: int = -1
@@ -100,52 +99,59 @@ def item_blocks(benchmark: DataFrame, setup: Setup):
         yield block
 
 
-def gram_frequencies(docs: DataFrame, wanted: np.ndarray, n: int) -> dict[int, int]:
-    """Documents that hold each wanted n-gram (sorted ids)."""
-    shared, holder = docs.sparkSession.sparkContext.broadcast(wanted), {}
-
-    def count(batches):
-        words = holder.get("w") or holder.setdefault("w", WordIds())
-        total = np.zeros(len(shared.value), np.int64)
-        for batch in batches:
-            for text in batch.column(0):
-                grams = gram_ids(words(text.as_py()), n)
-                at = np.searchsorted(shared.value, grams)
-                at[at == len(total)] = 0
-                total[np.unique(at[shared.value[at] == grams])] += 1
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(shared.value[at]), pa.array(total[at])], names=["gram", "n"])
-
-    rows = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(count, "gram long, n long")
-    return {r.gram: r.n for r in rows.groupBy("gram").agg(F.sum("n").alias("n")).collect()}
-
-
-def choose_seeds(block: list, frequency: dict[int, int], setup: Setup) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted seed ids with the item (its place in the block) and position of each."""
-    found = []
-    for k, (_, item) in enumerate(block):
-        grams = gram_ids(item, setup.n)
-        rarity = [frequency.get(int(g), 0) for g in grams]
-        width = min(setup.span, len(grams))
-        chosen = {min(range(i, i + width), key=lambda j: (rarity[j], j)) for i in range(len(grams) - width + 1)}
-        found += [(int(grams[j]), k, j) for j in chosen]
-    found.sort()
-    return tuple(np.array([f[i] for f in found], np.int64) for i in range(3))
-
-
-def matches(ids: np.ndarray, model: tuple, setup: Setup) -> list[tuple[int, float, int, int]]:
+@dataclass(frozen=True)
+class Model:
+    """Items of a block, the n-grams of all of them (sorted ids with item and position), and their words as numbers."""
+    items: list
+    seeds: np.ndarray
+    owner: np.ndarray
+    position: np.ndarray
+    vocabulary: np.ndarray
+    numbers: np.ndarray
+    starts: np.ndarray
+
+
+def build(block: list, setup: Setup) -> Model:
+    grams = [gram_ids(item, setup.n) for _, item in block]
+    seeds = np.concatenate(grams)
+    owner = np.repeat(np.arange(len(block)), [len(g) for g in grams])
+    position = np.concatenate([np.arange(len(g)) for g in grams])
+    order = np.lexsort((position, owner, seeds))
+    vocabulary, numbers = np.unique(np.concatenate([item for _, item in block]), return_inverse=True)
+    starts = np.concatenate([[0], np.cumsum([len(item) for _, item in block])])
+    return Model(block, seeds[order], owner[order], position[order], vocabulary, numbers, starts)
+
+
+def possible(model: Model, candidates: np.ndarray, ids: np.ndarray, setup: Setup) -> np.ndarray:
+    """The candidates (sorted items) of which enough words occur in the text. No alignment can score more than a match
+    for each word that occurs, so this loses none that reaches ``min_score``."""
+    at = np.searchsorted(model.vocabulary, ids)
+    at[at == len(model.vocabulary)] = 0
+    held = np.zeros(len(model.vocabulary), np.int64)
+    held[at[model.vocabulary[at] == ids]] = 1
+    first, sizes = model.starts[candidates], model.starts[candidates + 1] - model.starts[candidates]
+    begins = np.cumsum(sizes) - sizes
+    words = np.repeat(first - begins, sizes) + np.arange(sizes.sum())
+    return candidates[np.add.reduceat(held[model.numbers[words]], begins) / sizes >= setup.min_score]
+
+
+def matches(ids: np.ndarray, model: Model, setup: Setup) -> list[tuple[int, float, int, int]]:
     """(item, score, first word, end word) of the best alignment with each item that a seed of the text points to."""
-    items, (seeds, owner, position) = model
+    items, seeds = model.items, model.seeds
     grams = gram_ids(ids, setup.n)
     low = np.searchsorted(seeds, grams, "left")
     held = np.flatnonzero((low < len(seeds)) & (seeds[np.minimum(low, len(seeds) - 1)] == grams))
     if not len(held):
         return []
-    high = np.searchsorted(seeds, grams[held], "right")
+    low = low[held]
+    many = np.searchsorted(seeds, grams[held], "right") - low
+    begins = np.cumsum(many) - many
+    hits = np.repeat(low - begins, many) + np.arange(many.sum())
+    owner, start = model.owner[hits], np.repeat(held, many) - model.position[hits]
+    stay = np.isin(owner, possible(model, np.unique(owner), ids, setup))
     around: dict[int, list] = {}
-    for at, a, b in zip(held.tolist(), low[held].tolist(), high.tolist()):
-        for s in range(a, b):
-            around.setdefault(int(owner[s]), []).append(at - int(position[s]))
+    for k, at in zip(owner[stay].tolist(), start[stay].tolist()):
+        around.setdefault(k, []).append(at)
     out = []
     for k, starts in around.items():
         item = items[k][1]
@@ -157,11 +163,13 @@ def matches(ids: np.ndarray, model: tuple, setup: Setup) -> list[tuple[int, floa
                 last = start
                 continue
             a, b = max(0, first - size), min(len(ids), last + 2 * size)
+            first = last = start
+            if np.isin(item, ids[a:b]).sum() / size < setup.min_score:
+                continue
             score, end = align(item, ids[a:b], setup)
             if score > best[0]:
                 back, begin = align(item[::-1], ids[a:a + end][::-1], setup)
                 best = (score, a + end - begin if back == score else a, a + end)
-            first = last = start
         share = best[0] / (setup.match * size)
         if share >= setup.min_score:
             out.append((k, share, best[1], best[2]))
@@ -173,9 +181,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, setup: Setup = Setup())
     normalized words) of the best alignment. ``docs`` needs doc_id and text, ``benchmark`` item_id and text."""
     found = None
     for block in item_blocks(benchmark, setup):
-        wanted = np.unique(np.concatenate([gram_ids(item, setup.n) for _, item in block]))
-        seeds = choose_seeds(block, gram_frequencies(docs, wanted, setup.n), setup)
-        part = _align_block(docs, (block, seeds), setup)
+        part = _align_block(docs, build(block, setup), setup)
         found = part if found is None else found.union(part)
     if found is None:
         return docs.sparkSession.createDataFrame(
@@ -183,12 +189,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, setup: Setup = Setup())
     return found
 
 
-def _align_block(docs: DataFrame, model: tuple, setup: Setup) -> DataFrame:
+def _align_block(docs: DataFrame, model: Model, setup: Setup) -> DataFrame:
     shared, holder = docs.sparkSession.sparkContext.broadcast(model), {}
 
     def block(texts: list) -> dict:
         words = holder.get("w") or holder.setdefault("w", WordIds())
-        items, out = shared.value[0], []
+        items, out = shared.value.items, []
         for text in texts:
             best: dict = {}
             for k, score, first, end in matches(words(text), shared.value, setup):
