@@ -43,6 +43,19 @@ def test_toxicity_finds_the_words_of_one_class(spark, labelled, labels, edge, no
     assert toxicity.score(no_docs, model).count() == 0
 
 
+def test_toxicity_catches_short_words(spark):
+    draw, short = random.Random(8), ["scum", "idiot", "moron", "clown", "trash", "stupid"]
+    words = ["lorem", "ipsum", "dolor", "sit", "amet", "elit", "sed", "magna"]
+    plain = lambda n: [draw.choice(words) for _ in range(n)]
+    rows = [(i, " ".join(plain(20) + ([short[i // 2 % 6]] if i % 2 else []) + plain(20))) for i in range(1000)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1000)], "doc_id long, toxic int")
+    model = toxicity.learn(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    probe = spark.createDataFrame([(i, " ".join(plain(9) + [w] + plain(9))) for i, w in enumerate(short + ["amet"])],
+                                  "doc_id long, text string")
+    got = {r.doc_id: (r.predicted, r.n_toxic_windows) for r in toxicity.score(probe, model).collect()}
+    assert got == {i: (1, 1) for i in range(6)} | {6: (0, 0)}
+
+
 def test_toxicity_without_labels(spark, edge, no_docs, labels):
     model = toxicity.learn(edge, labels.where("doc_id > 5000"))
     assert {(r.score, r.predicted) for r in toxicity.score(edge, model).collect()} == {(0.0, 0)}

@@ -3,7 +3,7 @@
 *Learning* uses a bounded sample of labelled documents (``Setup.docs_per_class`` of smallest id hash per class, twice:
 for the dictionaries and for calibration). Character n-grams of words are counted by document in both classes; the
 windows of toxic documents that hold an n-gram with a clear lift train the toxic dictionary, windows of ordinary
-documents the other one.
+documents the other one. Few toxic windows are the dictionary themselves.
 
 *Scoring* cuts the whole text into windows of ``Setup.window_words`` words (ASCII letters in lower case) and compresses
 each with both dictionaries. A window counts when the toxic one saves at least the calibrated number of bytes; the
@@ -15,6 +15,7 @@ score is the share of toxic labels (0.0 without labels). Only doc_id and text of
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,6 +27,11 @@ from tidemark.llm.common import TwoGenerations, in_fold, labelled_sample, map_te
 
 #: Windows longer than this train no dictionary (they are scored like any other).
 LONGEST_SAMPLE = 256
+#: Follows each window: zstandard finds no match in a block's last bytes and stores a block raw that saves too little, so
+#: a short word alone has one length under all dictionaries. Bytes that UTF-8 never holds, repeated to be compressible.
+CARRIER = bytes(range(0xF5, 0x100)) * 3
+#: Around raw content, whose first and last bytes find no match; not UTF-8 and not in the carrier.
+MARGIN = b"\xc0\xc1" * 8
 
 
 @dataclass(frozen=True)
@@ -100,7 +106,16 @@ def train_dictionary(samples: list[bytes], setup: Setup) -> bytes:
     try:
         return zstandard.train_dictionary(setup.dictionary_bytes, samples, level=setup.level).as_bytes()
     except (zstandard.ZstdError, ValueError):
-        return b"".join(dict.fromkeys(samples))[-setup.dictionary_bytes:] or b" none "
+        return MARGIN + b"".join(dict.fromkeys(samples))[-setup.dictionary_bytes:] + MARGIN
+
+
+def toxic_dictionary(toxic: list[bytes], ordinary: list[bytes], held: dict, setup: Setup) -> bytes:
+    """The toxic windows that have a clear lift themselves, the most frequent last, as raw content if they fit: the
+    trainer leaves out some of a few short words."""
+    most, other = Counter(toxic), Counter(ordinary)
+    lifted = [w for w, n in most.most_common() if n * held[0] >= setup.min_lift * (other[w] + 0.5) * held[1]]
+    content = MARGIN + b"".join(reversed(lifted)) + MARGIN
+    return content if lifted and len(content) <= setup.dictionary_bytes else train_dictionary(toxic, setup)
 
 
 class Distance:
@@ -118,7 +133,7 @@ class Distance:
             level=level, dict_data=dictionary, write_content_size=False, write_dict_id=False).compress
 
     def _gain(self, window: bytes) -> int:
-        marked = b" " + window + b" "
+        marked = b" " + window + b" " + CARRIER
         ordinary, toxic = self.lengths
         return len(ordinary(marked)) - len(toxic(marked))
 
@@ -168,8 +183,9 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", setup: Setup
         (F.col("n1") >= max(2.0, setup.min_share * held[1]))
         & (F.col("n1") * held[0] >= setup.min_lift * (F.col("n0") + 0.5) * held[1]))
     chosen = {bytes(r.gram) for r in lift.orderBy(F.desc("n1"), "gram").limit(setup.most_grams).collect()}
-    ordinary = train_dictionary(_window_samples(first, 0, None, setup), setup)
-    toxic = train_dictionary(_window_samples(first, 1, chosen, setup), setup)
+    plain = _window_samples(first, 0, None, setup)
+    ordinary = train_dictionary(plain, setup)
+    toxic = toxic_dictionary(_window_samples(first, 1, chosen, setup), plain, held, setup)
     model = {"ordinary": ordinary, "toxic": toxic, "level": setup.level, "words": setup.window_words, "share": share}
     second = labelled_sample(docs, labels, label, setup.docs_per_class, 1)
     rows = [r for r in _features(second, model, {"y": F.col("y")}).collect()]
