@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from tidemark.llm import decontaminate, langid, mil_quality, toxicity
-from tidemark.llm.common import table
+from tidemark.llm.common import smallest_hashes, table
 
 SF = "/root/testdata/sf0.01"
 
@@ -182,3 +182,12 @@ def test_contamination_with_regular_edits_beside_exact_copies(spark, copies, eve
     for k, words in enumerate(items):
         text = next(t for i, t in rows if i == 100 + k).split()
         assert got[100 + k, k] == brute_alignment(words, text) / (2 * len(words))
+
+
+def test_ranks_in_two_steps_equal_one(spark, plan):
+    frame = spark.sql("SELECT id, id % 3 AS y FROM range(3000)")
+    want = spark.sql("SELECT id, y, row_number() OVER (PARTITION BY y ORDER BY xxhash64(id), id) AS rank FROM "
+                     "(SELECT id, id % 3 AS y FROM range(3000))").where("rank <= 70")
+    got = smallest_hashes(frame, "y", "id", 70, buckets=8)
+    assert sorted(map(tuple, got.select("id", "y", "rank").collect())) == sorted(map(tuple, want.collect()))
+    assert "pmod" in plan(got)

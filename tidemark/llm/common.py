@@ -142,15 +142,25 @@ def splittable_on(left: DataFrame, key: str) -> Column:
     return (F.xxhash64(left[key]) == F.col("_right_hash")) & (left[key] == F.col("_right_key"))
 
 
+def smallest_hashes(frame: DataFrame, group: str, id_: str, most: int, buckets: int = 64) -> DataFrame:
+    """The rows of the ``most`` smallest id hashes of each group, with their rank. Ranked by bucket of the id first, so
+    the task that ranks a group reads ``buckets * most`` rows of it at most."""
+    order = [F.xxhash64(id_), F.col(id_)]
+    bucket = F.pmod(F.xxhash64(id_), F.lit(buckets))
+    for keys in ([F.col(group), bucket], [F.col(group)]):
+        frame = frame.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(
+            F.col("rank") <= most)
+    return frame
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, part: int) -> DataFrame:
     """Columns y and text of part 0 or 1 of the labelled documents of smallest id hash, ``per_class`` of each label.
 
     Labels other than 0 and 1 are left out. The rows are written once for all passes over them.
     """
-    rank = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("_id"), "_id"))
     chosen = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long").alias("_id"), F.col(label).cast("int").alias("y")).distinct()
-    chosen = chosen.withColumn("rank", rank).where(F.col("rank") <= 2 * per_class).where(
+    chosen = smallest_hashes(chosen, "y", "_id", 2 * per_class).where(
         (F.col("rank") - 1) % 2 == part).select("_id", "y")
     # at most 2 * per_class ids of 16 bytes: a bound set by a parameter, so the texts need no shuffle
     return cut(docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("binary").alias("text")).join(

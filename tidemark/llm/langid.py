@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import TwoGenerations, in_fold, map_texts, table
+from tidemark.llm.common import TwoGenerations, in_fold, map_texts, smallest_hashes, table
 
 UNDETERMINED = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -57,9 +57,8 @@ def learn(docs: DataFrame, size: ModelSize = ModelSize()) -> dict:
     """The model from columns doc_id, text and lang; rows without a language teach nothing."""
     import pyarrow as pa
     labelled = docs.where("lang IS NOT NULL").select("doc_id", "text", "lang")
-    chosen = labelled.select("doc_id", "lang").distinct().withColumn("rank", F.row_number().over(
-        Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))).where(
-        F.col("rank") <= size.docs_per_lang).select("doc_id", "lang")
+    chosen = smallest_hashes(labelled.select("doc_id", "lang").distinct(), "lang", "doc_id", size.docs_per_lang).select(
+        "doc_id", "lang")
     # docs_per_lang ids per language: a bound set by a parameter, so the texts need no shuffle
     sample = labelled.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").select(
         F.col("lang"), F.col("text").cast("binary").alias("text"))
