@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, decontaminate, kd_shards, langid, mil_quality, mincut_html, quality_rules, simhash, substring_dedup, toxicity
+from tidemark.llm import (
+    bpe, decontaminate, kd_shards, langid, mil_quality, mincut_html, mixing, quality_rules, simhash, spelling, substring_dedup,
+    toxicity, whitening,
+)
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -15,6 +18,9 @@ QUERIES = {
     "op8_kd_shards": kd_shards.op8_kd_shards,
     "op9_mincut_html": mincut_html.op9_mincut_html,
     "op10_simhash": simhash.op10_simhash,
+    "op11_spelling": spelling.op11_spelling,
+    "op12_whitening": whitening.op12_whitening,
+    "op13_mixing": mixing.op13_mixing,
 }
 
 SQL = {
