@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tests.llm.test_dedup import brute_fingerprint, brute_removal, groups
+from tests.llm.test_dedup import brute_removal, groups
+from tests.llm.test_near_copies import brute_set, similar
 from tidemark.llm import bpe, decontaminate, mil_quality
 from tidemark.llm.common import in_fold, table
 
@@ -15,8 +16,8 @@ def test_pipeline_equals_brute_force(spark):
     model = mil_quality.learn(docs.where(learnt), table(spark, SF, "labels").where(learnt))
     good = {r.doc_id for r in mil_quality.score(docs, model).where("predicted = 1").collect()}
     texts = {r.doc_id: r.text for r in docs.collect() if r.doc_id in good}
-    prints = {i: brute_fingerprint(t) for i, t in texts.items()}
-    least = groups(sorted(texts), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 2)
+    sets = {i: brute_set(t or "") for i, t in texts.items()}
+    least = groups(sorted(texts), lambda a, b: similar(sets[a], sets[b]))
     texts = {i: t for i, t in texts.items() if least[i] == i}
     removed = brute_removal(list(texts.items()), 20)
     items = [r.text for r in table(spark, SF, "benchmark").collect()]

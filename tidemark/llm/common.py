@@ -115,17 +115,29 @@ def cut(frame: DataFrame) -> DataFrame:
         atexit.register(_delete_folders, spark)
     _folders.add(path)
     frame.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    written = spark.read.schema(frame.schema).parquet(path)
+    written._written_path = path
+    return written
+
+
+def release(*frames: DataFrame) -> None:
+    """Deletes the files of rows from ``cut`` that nothing will read again; other frames are left alone."""
+    for frame in frames:
+        path = frame.__dict__.pop("_written_path", None)
+        if path in _folders:
+            _delete(frame.sparkSession, path)
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _folders.discard(name)
 
 
 def _delete_folders(spark: SparkSession) -> None:
-    jvm = spark.sparkContext._jvm
-    if jvm is None or spark.sparkContext._jsc is None:
-        return
-    for name in list(_folders):
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-        _folders.discard(name)
+    if spark.sparkContext._jvm is not None and spark.sparkContext._jsc is not None:
+        for name in list(_folders):
+            _delete(spark, name)
 
 
 def splittable(right: DataFrame, key: str) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, splittable, splittable_on
+from tidemark.llm.common import cut, release, splittable, splittable_on
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -35,7 +35,8 @@ def component_of(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     edges = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v").distinct()
     edges, state = cut(edges), None
     for _ in range(most_rounds):
-        edges = cut(_star(_star(edges, large=True), large=False))
+        before, edges = edges, cut(_star(_star(edges, large=True), large=False))
+        release(before)
         now = edges.agg(
             F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.max("u"), F.min("v")).first()
         if now == state:

@@ -159,7 +159,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3, buck
     sized = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
                             word_count(F.col("text")).alias("size")))
     sources = cut(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most).withColumn(
-        "ratio", F.col("target") / F.col("source_size")))
+        "ratio", F.try_divide("target", "source_size")))
     side = splittable(sources, "source")
     # (a null source has a null key: eqNullSafe, and the same hash on both sides)
     known = sized.join(side, (F.xxhash64(sized["source"]) == F.col("_right_hash")) & sized["source"].eqNullSafe(F.col("_right_key")))
