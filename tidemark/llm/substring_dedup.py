@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import TwoGenerations, blocks, cut, table
+from tidemark.llm.common import TwoGenerations, blocks, cut, release, table
 
 #: Windows in one stretch at most (they are flagged in one integer).
 STRETCH = 31
@@ -175,7 +175,8 @@ def _seeds(docs: DataFrame, size: int, seed: int) -> DataFrame:
 
 
 def _stretches(docs: DataFrame, size: int, seed: int) -> DataFrame:
-    """One row per document with its words and maybe repeated windows; ``docs`` has doc_id, text and once (places).
+    """One row per document with its words and maybe repeated windows; ``docs`` has doc_id, text and once (places). The
+    column starts holds the runs of such windows: first ones, then lengths.
 
     ``kept_sha256`` is final for documents without such windows, the others keep their text and bring stretches."""
     schema = ("doc_id long, n_words long, kept_sha256 string, text binary, starts binary, "
@@ -212,7 +213,8 @@ def _stretches(docs: DataFrame, size: int, seed: int) -> DataFrame:
                             found.setdefault(key, start)
                     out["hash"].append(None)
                     out["text"].append(text)
-                    out["starts"].append(own.astype("<i4").tobytes())
+                    edges = np.flatnonzero(np.diff(own, prepend=-2, append=own[-1] + 2) != 1)
+                    out["starts"].append(np.stack([own[edges[:-1]], np.diff(edges)]).astype("<i4").tobytes())
                     out["stretches"].append([
                         {"hash": h, "start": s, "n": n, "words": w} for (h, n, w), s in found.items()])
                 yield pa.RecordBatch.from_arrays([
@@ -287,7 +289,8 @@ def _remove(rows: DataFrame, size: int, with_text: bool) -> DataFrame:
                     words = text.split()
                     gone = np.zeros(len(words) + 1, np.int32)
                     repeated = np.zeros(len(words), bool)
-                    repeated[np.frombuffer(starts, "<i4")] = True
+                    for first, n in np.frombuffer(starts, "<i4").reshape(2, -1).T.tolist():
+                        repeated[first:first + n] = True
                     for a, mask in zip(at or (), flags or ()):
                         while mask:
                             low = mask & -mask
@@ -309,7 +312,7 @@ def _remove(rows: DataFrame, size: int, with_text: bool) -> DataFrame:
     return rows.select("doc_id", "text", "starts", "at", "flags").mapInArrow(run, schema)
 
 
-def deduplicate(docs: DataFrame, size: int = 20, seed: int = 6, with_text: bool = False, crowded: int = 256) -> DataFrame:
+def deduplicate(docs: DataFrame, size: int = 20, seed: int = 10, with_text: bool = False, crowded: int = 256) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one space) and, with
     ``with_text``, kept_text: those words, or null where nothing was removed."""
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
@@ -328,8 +331,9 @@ def deduplicate(docs: DataFrame, size: int = 20, seed: int = 6, with_text: bool
         "hash").sortWithinPartitions("hash", "doc_id", "start")
     single = _first_places(_single_windows(first.join(many, "hash", "left_semi"), size), "words").select(
         "doc_id", "start", F.lit(1).cast("long").alias("flags"))
-    new = _new_windows(ordered, size).union(single).groupBy("doc_id").agg(
-        F.collect_list(F.struct("start", "flags")).alias("new"))
+    new = cut(_new_windows(ordered, size).union(single).groupBy("doc_id").agg(
+        F.collect_list(F.struct("start", "flags")).alias("new")))
+    release(first, many)
     repeated = judged.where("text IS NOT NULL").select("doc_id", "text", "starts").join(new, "doc_id", "left").select(
         "doc_id", "text", "starts", F.col("new.start").alias("at"), F.col("new.flags").alias("flags"))
     changed = _remove(repeated, size, with_text)
