@@ -31,7 +31,7 @@ def in_fold(folds: int, fold: int) -> Column:
 
 def map_texts(
     docs: DataFrame, fn: Callable[[list], dict], schema: str, keep: dict[str, Column] | None = None,
-    text: str = "text", block_bytes: int = 8 << 20,
+    text: str = "text", block_bytes: int = 2 << 20,
 ) -> DataFrame:
     """One output row per input row: ``fn`` gets a block of texts (bytes or None) and returns columns of equal length.
 
