@@ -22,12 +22,15 @@ from pyspark.sql.types import StructType
 
 from tidemark.operators.dedup import duplicate_keys
 from tidemark.operators.keyed import key_match, with_keys, without_keys
-from tidemark.session import path_exists
+from tidemark.session import path_exists, stored
 
 HISTORY = ("version bigint, timestamp timestamp_ntz, operation string, batch_id string, "
            "rows bigint, schema_json string")
 
 
+APPEND = "APPEND"
+
+
 class ConstraintViolation(ValueError):
     """A write broke a CHECK or NOT NULL constraint; nothing was committed."""
 
@@ -76,6 +79,14 @@ def commit(df: DataFrame, table: str, operation: str, batch_id: str | None = Non
     return version
 
 
+def append(rows: DataFrame, table: str, batch_id: str | None = None, **kwargs) -> int:
+    """The next version: the present one and ``rows``, which are stored as its row changes too."""
+    spark = rows.sparkSession
+    known = path_exists(spark, f"{table}/_history")
+    after = read_as_of(spark, table).unionByName(rows, allowMissingColumns=True) if known else rows
+    return commit(after, table, APPEND, batch_id, feed=rows.withColumn("_change_type", F.lit("insert")), **kwargs)
+
+
 def read_as_of(spark: SparkSession, table: str, version: int | None = None,
                timestamp: datetime | None = None) -> DataFrame:
     """The table at a version, at a time (the newest commit not after it), or now."""
@@ -96,17 +107,50 @@ def _read(spark: SparkSession, table: str, commit_row) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{table}/v={commit_row.version}")
 
 
+def _digest(rows: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """Two row hashes; NULLs count as values of their own."""
+    values = [x for c in columns for x in (F.col(c), F.col(c).isNull())]
+    return [F.xxhash64(F.lit(seed), *values).alias(f"__h{seed}") for seed in (0, 1)]
+
+
+def differing_keys(before: DataFrame, after: DataFrame, keys: Sequence[str], ranges: int = 4096) -> DataFrame:
+    """The keys whose rows differ between two states, written; a key that one state repeats there is refused.
+
+    First digests of ``ranges`` ranges of key hashes are compared: one row per range is shuffled. Then, in the ranges that
+    differ, row hashes of 128 bits by key. Whole rows are read, but never moved.
+    """
+    columns = list(dict.fromkeys([*after.columns, *before.columns]))
+    rows = before.withColumn("__side", F.lit(-1)).unionByName(after.withColumn("__side", F.lit(1)), allowMissingColumns=True)
+    hashed = rows.select(*keys, "__side", F.pmod(F.xxhash64(*keys), F.lit(ranges)).cast("int").alias("__range"),
+                         *_digest(rows, columns))
+    balance = [F.sum(F.col(h).cast("decimal(38,0)") * F.col("__side")) for h in ("__h0", "__h1")]
+    sums = hashed.groupBy("__range").agg(F.sum("__side").alias("n"), *[b.alias(f"b{i}") for i, b in enumerate(balance)])
+    differ = [r[0] for r in sums.filter("n <> 0 OR b0 <> 0 OR b1 <> 0").select("__range").collect()]  # at most ``ranges``
+    if len(differ) < ranges:
+        hashed = hashed.filter(F.col("__range").isin(differ))
+    sides = {side: F.col("__side") == side for side in (-1, 1)}
+    found = hashed.groupBy(*keys).agg(
+        *[F.count_if(is_side).alias(f"__n{side}") for side, is_side in sides.items()],
+        *[F.max(F.when(is_side, F.struct("__h0", "__h1"))).alias(f"__r{side}") for side, is_side in sides.items()])
+    changed = stored(found.filter(~F.col("__r-1").eqNullSafe(F.col("__r1")) | (F.col("__n-1") > 1) | (F.col("__n1") > 1)), "changed")
+    repeated = changed.filter((F.col("__n-1") > 1) | (F.col("__n1") > 1)).select(*keys).first()
+    if repeated is not None:
+        raise ValueError(f"duplicate key {tuple(repeated)}")
+    return changed.select(*keys)
+
+
 def change_feed(before: DataFrame, after: DataFrame, keys: Sequence[str], version: int,
                 timestamp: datetime) -> DataFrame:
-    """Row changes between two states with unique keys; a repeated key is refused.
+    """Row changes between two states with unique keys; a key repeated among the differences is refused.
 
-    This compares two whole states. A writer that knows its changes stores them with ``commit``.
+    Digests and row hashes tell which keys differ; only their rows are joined. A writer that knows its changes stores them
+    with ``commit``.
     ``_change_type`` is insert, delete, update_preimage or update_postimage.
     NULLs compare equal to NULLs. Columns that only one side has read as NULL on
     the other.
     """
-    for side in (before, after):
-        require_unique(side, keys)
+    changed = differing_keys(before, after, keys)
+    before, after = (with_keys(side, changed, keys, null_safe=True) for side in (before, after))
     columns = list(dict.fromkeys([*after.columns, *before.columns]))
     types = {f.name: f.dataType for df in (before, after) for f in df.schema.fields}
 

@@ -6,7 +6,7 @@ import importlib
 
 from tidemark.registry import core
 
-_MODULES = ("marts", "reports", "quality", "changes", "streams", "access", "batches")
+_MODULES = ("marts", "reports", "quality", "changes", "streams", "access", "batches", "features")
 
 
 def load() -> tuple[dict, dict]:

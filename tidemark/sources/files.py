@@ -78,9 +78,9 @@ def append(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def create_table(df: DataFrame, name: str, replace: bool = True) -> None:
-    """CREATE [OR REPLACE] TABLE ... AS SELECT, stored in the shared folder."""
-    location = f"{shared_dir(df.sparkSession)}/tables/{name}"
+def create_table(df: DataFrame, name: str, replace: bool = True, location: str | None = None) -> None:
+    """CREATE [OR REPLACE] TABLE ... AS SELECT, stored at ``location`` or in the shared folder."""
+    location = location or f"{shared_dir(df.sparkSession)}/tables/{name}"
     df.write.mode("overwrite" if replace else "error").option("path", location).saveAsTable(name)
 
 

@@ -12,15 +12,16 @@ PROGRESS = ("name string, id string, batch_id bigint, timestamp string, input_ro
 
 
 class BatchLog(StreamingQueryListener):
-    """Every batch of every query, however many there are (a query itself remembers only the last hundred)."""
+    """Every batch of the running queries and the ``kept`` last ended ones (a query itself remembers only a hundred batches)."""
 
-    def __init__(self):
+    def __init__(self, kept: int = 200):
+        self.kept = kept
         self.batches: dict[str, list] = {}
         self.ended: dict[str, threading.Event] = {}
 
     def onQueryStarted(self, event):
-        self.batches[str(event.runId)] = []
-        self.ended[str(event.runId)] = threading.Event()
+        self.batches.setdefault(str(event.runId), [])
+        self.ended.setdefault(str(event.runId), threading.Event())
 
     def onQueryProgress(self, event):
         self.batches.setdefault(str(event.progress.runId), []).append(_row(event.progress))
@@ -29,7 +30,10 @@ class BatchLog(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event):
-        self.ended[str(event.runId)].set()
+        self.ended.setdefault(str(event.runId), threading.Event()).set()
+        for run in [run for run, ended in self.ended.items() if ended.is_set()][:-self.kept]:  # the oldest ended ones
+            del self.ended[run]
+            self.batches.pop(run, None)
 
     def of(self, query: StreamingQuery) -> list:
         """The batches of a query so far; of an ended one all, as events come in order."""
