@@ -295,9 +295,9 @@ class Bpe:
 
 
 @lru_cache(maxsize=4)
-def tokenizer(path: str) -> Bpe:
-    """One tokenizer per Python worker and file."""
-    return Bpe(path)
+def tokenizer(path: str, most_cached: int = 400_000) -> Bpe:
+    """One tokenizer per Python worker and file. It stays with the worker, and so do the words it has cached."""
+    return Bpe(path, most_cached)
 
 
 def default_path() -> str:
@@ -324,13 +324,14 @@ def encode(
 
 def encode_digests(
     docs: DataFrame, path: str | None = None, keep: dict[str, Column] | None = None, with_ids: bool = False,
+    most_cached: int = 400_000,
 ) -> DataFrame:
     """The ``keep`` columns (default doc_id) with n_tokens and the digests ids_sha256 and decoded_sha256; ``with_ids``
     adds the array of ids."""
     path = path or default_path()
 
     def block(texts: list) -> dict:
-        bpe = tokenizer(path)
+        bpe = tokenizer(path, most_cached)
         out: dict = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
         found = bpe.encode_block([t or b"" for t in texts])
         for ids, decoded in found:
