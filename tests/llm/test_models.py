@@ -191,3 +191,17 @@ def test_ranks_in_two_steps_equal_one(spark, plan):
     got = smallest_hashes(frame, "y", "id", 70, buckets=8)
     assert sorted(map(tuple, got.select("id", "y", "rank").collect())) == sorted(map(tuple, want.collect()))
     assert "pmod" in plan(got)
+
+
+def test_texts_of_one_item_stay_in_one_block(spark):
+    words = [f"w{i}" for i in range(24)]
+    first, second = " ".join(words[:12]), " ".join(words[12:])
+    benchmark = spark.createDataFrame(
+        [(7, first), (9, " ".join(f"x{i}" for i in range(12))), (None, second), (7, second), (7, "a b")],
+        "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"{first} {words[12]} x {words[14]}"), (1, f"{first} {second}"), (2, second)],
+                                 "doc_id long, text string")
+    whole, small = (sorted((r.doc_id, r.item_id is None, r.item_id or 0, r.score) for r in decontaminate.contaminated(
+        docs, benchmark, decontaminate.Setup(block_words=n)).collect()) for n in (500_000, 5))
+    assert small == whole
+    assert [r[:3] for r in whole] == [(1, False, 7), (1, False, 7), (1, True, 0), (2, False, 7), (2, True, 0)]

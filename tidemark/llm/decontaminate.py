@@ -7,8 +7,8 @@ rearranged words cost points but don't hide the copy. A document and an item are
 ``min_score`` of the item's perfect score. A copy in which no n consecutive words are left whole has no seed.
 
 The benchmark is a stated query set and is held against all documents in blocks of at most ``block_words`` words, each
-broadcast (its size is bounded by that parameter; an item longer than a block is a block of its own). Nothing is
-shuffled.
+broadcast (its size is bounded by that parameter; all texts of an item are in one block, and an item longer than a block
+is a block of its own). No document is shuffled.
 
 Items with fewer than ``n`` words (null and empty ones too) are too short to tell and link to nothing; null and empty
 documents link to nothing. Rows with the same item_id are one item with several texts; the best counts. Repeated
@@ -18,6 +18,7 @@ documents give repeated rows. A null doc_id stays null.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -83,18 +84,18 @@ def align(item: np.ndarray, text: np.ndarray, setup: Setup) -> tuple[int, int]:
 
 
 def item_blocks(benchmark: DataFrame, setup: Setup):
-    """Lists of (item_id, word ids), each of a bounded number of words, read one partition at a time."""
+    """Lists of (item_id, word ids), each of a bounded number of words, read one partition at a time in the order of
+    item_id, so that the best of all texts of an item is found within one block."""
     ids, block, words = WordIds(), [], 0
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("binary").alias("text"))
-    for row in rows.where("text IS NOT NULL").toLocalIterator():
-        item = ids(bytes(row.text))
-        if len(item) < setup.n:
-            continue
-        if block and words + len(item) > setup.block_words:
+    for item_id, group in groupby(rows.where("text IS NOT NULL").orderBy("item_id").toLocalIterator(), lambda r: r.item_id):
+        texts = [t for t in (ids(bytes(r.text)) for r in group) if len(t) >= setup.n]
+        size = sum(map(len, texts))
+        if block and words + size > setup.block_words:
             yield block
             block, words = [], 0
-        block.append((row.item_id, item))
-        words += len(item)
+        block += [(item_id, t) for t in texts]
+        words += size
     if block:
         yield block
 
