@@ -152,6 +152,21 @@ def test_repeated_rows_get_the_same_result(spark):
     assert got == [(1, 0), (1, 0), (2, 30), (2, 30)]
 
 
+def test_written_steps_leave_no_shuffle_files(spark):
+    """Only shuffles of the last step, which is the caller's, may stay."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        files = disk.getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    before, name = shuffles(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    frame = spark.createDataFrame(corpus(7, 5), "doc_id long, text string").repartition(3)
+    rows = substring_dedup.deduplicate(frame)
+    assert not shuffles() - before
+    assert rows.count() == 30 and spark.conf.get(name) == "false"
+
+
 def test_matching_statistics_equal_brute_force():
     draw = random.Random(9)
     for _ in range(200):

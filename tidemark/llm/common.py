@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -106,15 +107,34 @@ def shared_folder(spark: SparkSession) -> str:
     return (base or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work").rstrip("/")
 
 
+#: While rows are written, unless the launcher has set them: shuffle files go as soon as the write ends (else they stay until
+#: the driver collects its garbage), and a batch for Python holds 4 MB and not up to 10,000 texts.
+_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
+
+
+@contextmanager
+def _writing(spark: SparkSession) -> Iterator[None]:
+    own = [name for name in _WRITING if not spark.sparkContext.getConf().contains(name)]
+    before = {name: spark.conf.get(name) for name in own}
+    for name in own:
+        spark.conf.set(name, _WRITING[name])
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def cut(frame: DataFrame) -> DataFrame:
     """The rows written to the shared folder and read back: later work, retries included, never repeats what led to
-    them. The files are deleted when the session's program ends."""
+    them, so the shuffles behind them are deleted. The files are deleted when the session's program ends."""
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/rows-{uuid.uuid4().hex}"
     if not _folders:
         atexit.register(_delete_folders, spark)
     _folders.add(path)
-    frame.write.option("compression", "zstd").parquet(path)
+    with _writing(spark):
+        frame.write.option("compression", "zstd").parquet(path)
     written = spark.read.schema(frame.schema).parquet(path)
     written._written_path = path
     return written

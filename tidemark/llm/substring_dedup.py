@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import TwoGenerations, blocks, cut, release, table
+from tidemark.llm.common import blocks, cut, release, table
 
 #: Windows in one stretch at most (they are flagged in one integer).
 STRETCH = 31
@@ -104,7 +104,7 @@ def _slide(values: np.ndarray, width: int, of) -> np.ndarray:
 class Block:
     """The words of some texts end to end, with the smallest sequence hash of every window."""
 
-    def __init__(self, texts: list, id_of, size: int, seed: int):
+    def __init__(self, texts: list, size: int, seed: int):
         self.words = [(t or b"").split() for t in texts]
         self.counts = np.fromiter(map(len, self.words), np.int64, len(texts))
         self.first = np.concatenate([[0], np.cumsum(self.counts)])
@@ -114,7 +114,7 @@ class Block:
             self.low = self.hash = np.zeros(0, np.uint64)
             self.inside = np.zeros(0, bool)
             return
-        ids = np.fromiter((id_of(w) for part in self.words for w in part), np.uint64, n)
+        ids = np.fromiter((xxhash.xxh64_intdigest(w) for part in self.words for w in part), np.uint64, n)
         grams, span, left = ids, 1, seed
         while 2 * span <= seed:
             grams, span = _mix(grams[:-span], grams[span:]), 2 * span
@@ -153,17 +153,12 @@ class Block:
         return place
 
 
-def _word_ids(most_cached: int = 300_000) -> TwoGenerations:
-    return TwoGenerations(lambda w: xxhash.xxh64_intdigest(w) or 1, most_cached)
-
-
 def _seeds(docs: DataFrame, size: int, seed: int) -> DataFrame:
     """One row per sampled place: hash, doc_id, place."""
     def run(batches):
-        id_of = _word_ids()
         for batch in batches:
             for part in blocks(batch, 1, _BLOCK):
-                block = Block(part.column(1).to_pylist(), id_of, size, seed)
+                block = Block(part.column(1).to_pylist(), size, seed)
                 at = block.sampled()
                 doc = block.doc[at]
                 yield pa.RecordBatch.from_arrays([
@@ -184,11 +179,10 @@ def _stretches(docs: DataFrame, size: int, seed: int) -> DataFrame:
     stretch = pa.list_(pa.struct([("hash", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("words", pa.binary())]))
 
     def run(batches):
-        id_of = _word_ids()
         for batch in batches:
             for part in blocks(batch, 1, _BLOCK):
                 texts, once = part.column(1).to_pylist(), part.column(2)
-                block = Block(texts, id_of, size, seed)
+                block = Block(texts, size, seed)
                 flat = once.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
                 lengths = once.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
                 starts = block.maybe_repeated(flat + np.repeat(block.first[:-1], lengths))
