@@ -27,7 +27,9 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest doc_id, of each group of near duplicates: five-word shingles, Jaccard 0.8."""
+    """One document, that of the smallest doc_id, of each group of near duplicates: texts linked by a
+    Jaccard similarity of 0.8 over five-word shingles. SimHash fingerprints with pigeonring come first, exact sets confirm
+    their pairs, and a prefix filter finds the pairs that two bits miss."""
     return near_copies.one_of_each_group(docs)
 
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tests.llm.test_dedup import groups
+from tests.llm.test_dedup import brute_fingerprint, groups
 from tidemark.llm import near_copies
 
 
@@ -53,6 +53,23 @@ def test_groups_equal_brute_force_jaccard(spark, seed, dense, sampled, common):
     assert got == {i for i, least in want.items() if i == least}
 
 
+def test_pairs_by_fingerprint_are_confirmed_first(spark, monkeypatch):
+    """What pigeonring over five-word fingerprints links is connected by pairs, and all of them are in the first round."""
+    texts = [t for t in dict.fromkeys(corpus(8)) if t.strip()]
+    prints = [brute_fingerprint(t, 5) for t in texts]
+    want = groups(range(len(texts)), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 2)
+    assert len(set(want.values())) < len(want)
+    rows = [(i + 1, i + 1, t.encode()) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame([*rows, rows[0], (0, 99, b"")], "node long, id long, text binary")
+    pairs = {(r.u - 1, r.v - 1) for r in near_copies.fingerprint_pairs(docs, 5).collect()}
+    assert groups(range(len(texts)), lambda a, b: (min(a, b), max(a, b)) in pairs) == want
+    first, confirmed = [], near_copies.confirmed
+    monkeypatch.setattr(near_copies, "confirmed", lambda rows, *rest: first.append({(r.u - 1, r.v - 1) for r in rows.collect()})
+                        or confirmed(rows, *rest))
+    near_copies.links(docs)
+    assert pairs <= first[0]
+
+
 def test_stage_takes_copies_with_changed_words(spark):
     draw = random.Random(7)
     base = [f"w{draw.randrange(9000)}" for _ in range(300)]

@@ -1,5 +1,9 @@
 """Near copies by Jaccard similarity of word shingles, exact: no pair at or above the threshold is missed.
 
+*Fingerprints.* Texts whose SimHash fingerprints over the same shingles are equal or link by pigeonring (``simhash.links``) are
+candidates of the first round. Two bits find copies with few changes only: a pair of similarity 0.8 differs in about ten of
+64 bits, where no chain of segments is selective. What follows finds all others.
+
 *Candidates.* A text is the set of XXH64 hashes of its shingles of ``shingle`` words (ASCII letters in lower case). Under
 one order of all hashes, two sets of similarity t share a hash among the first n - ceil(t n) + 1 of each (prefix filter).
 Any order is right; rare hashes first keeps the groups small, so hashes that a sample of the texts holds often are known
@@ -30,8 +34,8 @@ than the sets differ in hashes. This is exact; it tells texts of up to about a t
 one of both. So it goes on only if it met often enough; with a text in parts or in a dense group, c is not known and any
 number will do.
 
-*Confirmation.* Whole sets are intersected, in two rounds: each text with its smallest candidate, and then only pairs that
-this has not connected.
+*Confirmation.* Whole sets are intersected, in two rounds: each text with its smallest candidate and its candidates by
+fingerprint, and then only pairs that this has not connected.
 
 Equal texts are one node from the start, as are all texts without a word.
 """
@@ -46,6 +50,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm import simhash
 from tidemark.llm.common import blocks, cut, doc_key, release, splittable, splittable_on
 from tidemark.llm.components import component_of
 from tidemark.llm.simhash import shingle_hashes
@@ -109,6 +114,23 @@ def frequent_hashes(texts: DataFrame, shingle: int, sampled: int = SAMPLED) -> t
     return hashes[order], found.column("count").to_numpy()[order]
 
 
+def fingerprint_pairs(texts: DataFrame, shingle: int) -> DataFrame:
+    """Pairs (u, v), u < v, of nodes that connect all with words whose fingerprints pigeonring links. The smallest node of a
+    fingerprint stands for it, and each other one is paired with that."""
+    prints = cut(simhash.fingerprints(texts.where("node <> 0"), shingle, {"node": F.col("node")}).distinct())
+    least = cut(prints.groupBy("fp").agg(F.min("node").alias("least")))
+    equal = prints.join(splittable(least, "fp"), splittable_on(prints, "fp")).where("node > least").select(
+        F.col("least").alias("u"), F.col("node").alias("v"))
+    near = simhash.links(least)
+    for end in ("u", "v"):
+        side = splittable(least.select("fp", F.col("least").alias(f"{end}_node")), "fp")
+        near = near.join(side, splittable_on(near, end)).drop("_right_hash", "_right_key")
+    near = near.select(F.least("u_node", "v_node").alias("u"), F.greatest("u_node", "v_node").alias("v"))
+    found = cut(equal.union(near).distinct())
+    release(prints, least)
+    return found
+
+
 def counts_of(hashes: np.ndarray, known: np.ndarray, counts: np.ndarray) -> np.ndarray:
     if not len(known):
         return np.zeros(len(hashes), np.int64)
@@ -345,9 +367,10 @@ def links(
     stars = stars.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("pivot")), 1, 4).alias("p")).select(
         "node", F.explode("p").alias("pivot")).select(
         F.least("node", "pivot").alias("u"), F.greatest("node", "pivot").alias("v"))
-    first = cut(near.groupBy("v").agg(F.min("u").alias("u")).select("u", "v").union(stars).distinct())
+    printed = fingerprint_pairs(texts, shingle)
+    first = cut(near.groupBy("v").agg(F.min("u").alias("u")).select("u", "v").union(stars).union(printed).distinct())
 
-    members = near.select(F.explode(F.array("u", "v")).alias("node")).union(crowded.select("node")).distinct()
+    members = near.union(printed).select(F.explode(F.array("u", "v")).alias("node")).union(crowded.select("node")).distinct()
     # one document per node, found by its id too: copies of one text spread over the tasks
     named = texts.groupBy("node").agg(F.min("id").alias("id")).join(members, "node", "left_semi")
     chosen = texts.join(named, ["node", "id"], "left_semi").groupBy("node", "id").agg(F.first("text").alias("text")).select(
@@ -361,7 +384,7 @@ def links(
     sets = cut(_map(chosen, hashed, "node long, hashes binary, sketch array<long>"))
 
     edges = cut(sure.union(confirmed(first, sets, least)))
-    release(first)
+    release(first, printed)
     parts = component_of(edges)
     # candidates that are not connected yet
     for end in ("u", "v"):
