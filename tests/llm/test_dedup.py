@@ -1,11 +1,13 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from tidemark.llm import simhash, substring_dedup
+from tidemark.llm.common import cut
 from tidemark.llm.components import component_of
 
 
@@ -167,6 +169,17 @@ def test_written_steps_leave_no_shuffle_files(spark):
     assert rows.count() == 30 and spark.conf.get(name) == "false"
 
 
+def test_batches_of_a_written_step_are_bounded(spark):
+    """Long texts come to Python a few MB at a time, however many rows a batch may have."""
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["rows", "bytes"])
+
+    docs = spark.range(0, 2000, 1, 1).select(F.repeat(F.lit("x"), 10_000).alias("text"))
+    got = cut(docs.mapInArrow(run, "rows long, bytes long")).collect()
+    assert sum(r.rows for r in got) == 2000 and max(r.bytes for r in got) < 6 << 20
+
+
 def test_matching_statistics_equal_brute_force():
     draw = random.Random(9)
     for _ in range(200):
