@@ -198,3 +198,24 @@ def test_loosely_edited_copies_equal_brute_force(spark, dense):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id for r in near_copies.one_of_each_group(docs, dense=dense, sampled=1).collect()}
     assert got == {i for i, least in want.items() if i == least}
+
+
+def test_copies_near_the_central_text_make_no_pairs(spark, monkeypatch):
+    """Each text of a dense group is compared with the one that most of its keys have in the middle, so copies that are all
+    near that one need no pairs with each other, however many keys they share."""
+    draw = random.Random(11)
+    texts = [" ".join(f"b{k}" for k in range(400))]
+    for i in range(100):
+        words = texts[0].split()
+        for at in draw.sample(range(400), draw.randrange(4, 7)):
+            words[at] = f"e{i}x{at}"
+        texts.append(" ".join(words))
+    # unlike the others, so that the groups have something left to compare
+    texts += [" ".join([f"b{k}" for k in range(320)] + [f"o{i}x{k}" for k in range(85)]) for i in range(3)]
+    nodes = [1 << 61, *(draw.randrange(1, 1 << 60) for _ in texts[1:])]
+    docs = spark.createDataFrame([(n, n, t.encode()) for n, t in zip(nodes, texts)], "node long, id long, text binary")
+    met, pairs = [], near_copies._pairs
+    monkeypatch.setattr(near_copies, "_pairs", lambda *a: met.append(near_copies.cut(pairs(*a))) or met[0])
+    near_copies.links(docs, sampled=1)
+    near = set(nodes[:101])
+    assert not [r for r in met[0].collect() if near.issuperset(r)]

@@ -364,8 +364,10 @@ def links(
     pivots = crowded.groupBy("key").agg(F.min(central).alias("low"), F.max(mixed).alias("high")).select(
         "key", F.explode(F.array("low.node", "high.node")).alias("pivot"))
     stars = crowded.join(splittable(pivots, "key"), splittable_on(crowded, "key")).where("node <> pivot")
-    stars = stars.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("pivot")), 1, 4).alias("p")).select(
-        "node", F.explode("p").alias("pivot")).select(
+    # those that a text shares most keys with: of one text's many keys, most have the same central one
+    stars = stars.groupBy("node", "pivot").agg((-F.count("*")).alias("rank")).groupBy("node").agg(
+        F.slice(F.array_sort(F.collect_list(F.struct("rank", "pivot"))), 1, 4).alias("p")).select(
+        "node", F.explode("p.pivot").alias("pivot")).select(
         F.least("node", "pivot").alias("u"), F.greatest("node", "pivot").alias("v"))
     printed = fingerprint_pairs(texts, shingle)
     first = cut(near.groupBy("v").agg(F.min("u").alias("u")).select("u", "v").union(stars).union(printed).distinct())
