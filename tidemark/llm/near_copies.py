@@ -25,7 +25,8 @@ those that stand for other cores.
 
 *One exchange.* Keys of both kinds are dealt and sorted once; a task walks through its groups. Under at most ``dense``
 texts it forms pairs. The rows of a denser group, in which all but few are copies of each other, go on: its texts are
-first compared with two of them each, then, what that left apart, with the texts outside the largest component. Texts whose
+first compared with the four that most of their groups name (each group names its central text and a mixed one), then, what
+that left apart, with the texts outside the largest component. Texts whose
 rest is too large for every other text of the group are left out of that, and a pair comes out of it only if the *sketches*
 of both texts allow the similarity: the parity of the number of hashes in each of ``SKETCH`` bins differs in no more bins
 than the sets differ in hashes. This is exact; it tells texts of up to about a thousand words apart, longer ones fill all bins.
